@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
+import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkweir.operators.timestamps import site_of
 
-BLANKS = r"[\s ]+"
+BLANKS = r"[\s\u00a0]+"
+_WORD = re.compile(r"[a-z0-9]+")
 
 
 def squeeze(text: Column) -> Column:
@@ -27,3 +34,23 @@ def sentences(documents: DataFrame, *extra: Column) -> DataFrame:
     names = [c for c in paragraphs.columns if c not in ("para",)]
     out = paragraphs.select(*names, F.posexplode("para").alias("sent_no", "sent")).where("sent is not null")
     return out
+
+
+def plain_words(text: str | None) -> list[str]:
+    """Runs of a-z and 0-9 after dropping accents and lower-casing. Null gives none."""
+    if not text:
+        return []
+    if not text.isascii():
+        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+    return _WORD.findall(text.lower())
+
+
+@F.pandas_udf(T.StringType())
+def spaced_words(text: pd.Series) -> pd.Series:
+    """``plain_words`` joined by blanks; null gives an empty string."""
+    return pd.Series([" ".join(plain_words(t)) for t in text])
+
+
+def word_hash(word: str) -> int:
+    """64-bit hash of a word, the same in every process."""
+    return xxhash.xxh64_intdigest(word)

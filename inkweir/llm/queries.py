@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkweir.llm import site_lines
+from inkweir.llm import overlap, site_lines
+from inkweir.operators.timestamps import site_of
 from inkweir.plans.registry import Registry
 from inkweir.session import table
 
@@ -50,3 +51,29 @@ def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the repeated lines of their sites."""
     documents = table(spark, sf_dir, "documents")
     return site_lines.without_lines(documents, site_lines.repeated_lines(documents)).withColumn("n_sentences", F.coalesce(F.size(F.flatten("paragraphs")), F.lit(0)))
+
+
+# ---------------------------------------------------------------- problem 4: near-same records across splits
+
+
+def _cloze_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "instances").select(F.col("inst_no").alias("rec_id"), "split_name", F.get("cloze", F.lit(0)).alias("text"))
+
+
+@registry.query("p4_found")
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a training and a held-out instance whose cited sentences share 7/10 of their words."""
+    pairs = overlap.overlapping_pairs(_cloze_records(spark, sf_dir))
+    return pairs.select(F.col("rec_id_a").alias("inst_no_a"), F.col("rec_id_b").alias("inst_no_b"))
+
+
+@registry.query("p4_by_split_and_site")
+def p4_by_split_and_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each held-out split and cited site: its instances, and those that return in train."""
+    instances = table(spark, sf_dir, "instances").where("split_name <> 'train'")
+    sites = instances.select("inst_no", "split_name", F.explode_outer(F.array_distinct(F.transform(F.coalesce("documents.canonical_url", F.array()), lambda u: site_of(u)))).alias("site")).distinct()
+    leaked = overlap.overlapping_pairs(_cloze_records(spark, sf_dir)).groupBy(F.col("eval_id").alias("inst_no")).agg(F.count("*").alias("n_pairs"), F.max("similarity").alias("top"))
+    return (
+        sites.join(leaked, "inst_no", "left").groupBy("split_name", "site")
+        .agg(F.count_distinct("inst_no").alias("n_instances"), F.count_distinct(F.when(F.col("n_pairs") > 0, F.col("inst_no"))).alias("n_leaked"), F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n_pairs"))
+    )
