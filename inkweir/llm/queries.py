@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkweir.llm import overlap, site_lines
+from inkweir.llm import grouped_splits, overlap, site_lines
 from inkweir.operators.timestamps import site_of
 from inkweir.plans.registry import Registry
 from inkweir.session import table
@@ -77,3 +77,31 @@ def p4_by_split_and_site(spark: SparkSession, sf_dir: str) -> DataFrame:
         sites.join(leaked, "inst_no", "left").groupBy("split_name", "site")
         .agg(F.count_distinct("inst_no").alias("n_instances"), F.count_distinct(F.when(F.col("n_pairs") > 0, F.col("inst_no"))).alias("n_leaked"), F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n_pairs"))
     )
+
+
+# ---------------------------------------------------------------- problem 5: splits that keep related records together
+
+
+def _linked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    urls = F.transform("documents.canonical_url", lambda u: grouped_splits.same_url(u))
+    return table(spark, sf_dir, "instances").select(F.col("inst_no").alias("rec_id"), F.col("page_id").alias("entity"), urls.alias("sources"))
+
+
+@registry.query("p5_found")
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every instance with the smallest inst_no of its group."""
+    return grouped_splits.record_groups(_linked_records(spark, sf_dir)).select(F.col("rec_id").alias("inst_no"), "group_no")
+
+
+@registry.query("p5_splits")
+def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every instance with its group and its new split."""
+    groups = grouped_splits.record_groups(_linked_records(spark, sf_dir))
+    labels = table(spark, sf_dir, "instances").select(F.col("inst_no").alias("rec_id"), F.col("split_name").alias("label"))
+    return grouped_splits.split_groups(groups, labels).select(F.col("rec_id").alias("inst_no"), "group_no", F.col("split").alias("split_name"))
+
+
+@registry.query("p5_shares")
+def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and instances of each new split."""
+    return p5_splits(spark, sf_dir).groupBy("split_name").agg(F.count("*").alias("n_instances"), F.count_distinct("group_no").alias("n_groups"))
