@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkweir.llm import grouped_splits, overlap, site_lines
+from inkweir.llm import grouped_splits, leaks, overlap, site_lines
 from inkweir.operators.timestamps import site_of
 from inkweir.plans.registry import Registry
 from inkweir.session import table
@@ -105,3 +105,27 @@ def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and instances of each new split."""
     return p5_splits(spark, sf_dir).groupBy("split_name").agg(F.count("*").alias("n_instances"), F.count_distinct("group_no").alias("n_groups"))
+
+
+# ---------------------------------------------------------------- problem 9: evaluation texts in training text
+
+
+@registry.query("p9_found")
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with at least 12 consecutive words of an evaluation item, and the item."""
+    return leaks.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
+
+
+@registry.query("p9_near")
+def p9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the rarest terms of a run of an item near where they should stand."""
+    return leaks.near_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+@registry.query("p9_items")
+def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each task and split of the evaluation items: how many leaked, into how many documents."""
+    items = table(spark, sf_dir, "eval_items")
+    leaked = leaks.leaked_items(table(spark, sf_dir, "documents"), items)
+    joined = items.select("item_id", "task", "split_name").join(leaked, "item_id", "left")
+    return joined.groupBy("task", "split_name").agg(F.count_distinct("item_id").alias("n_items"), F.count_distinct(F.when(F.col("doc_id").isNotNull(), F.col("item_id"))).alias("n_leaked"), F.count_distinct("doc_id").alias("n_docs"))
