@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkweir.llm import grouped_splits, leaks, overlap, site_lines
+from inkweir.llm import grouped_splits, leaks, overlap, site_lines, truncation
 from inkweir.operators.timestamps import site_of
 from inkweir.plans.registry import Registry
 from inkweir.session import table
@@ -129,3 +129,21 @@ def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaked = leaks.leaked_items(table(spark, sf_dir, "documents"), items)
     joined = items.select("item_id", "task", "split_name").join(leaked, "item_id", "left")
     return joined.groupBy("task", "split_name").agg(F.count_distinct("item_id").alias("n_items"), F.count_distinct(F.when(F.col("doc_id").isNotNull(), F.col("item_id"))).alias("n_leaked"), F.count_distinct("doc_id").alias("n_docs"))
+
+
+# ---------------------------------------------------------------- problem 10: texts cut off
+
+
+@registry.query("p10_found")
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose text was cut before its end."""
+    return truncation.truncated(table(spark, sf_dir, "documents")).select("doc_id").distinct()
+
+
+@registry.query("p10_rates")
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each site: its documents, and how many of them were cut in which way."""
+    documents = table(spark, sf_dir, "documents")
+    found = truncation.truncated(documents).select("doc_id", "reason").distinct()
+    joined = documents.select("doc_id", site_of(F.col("canonical_url")).alias("site")).distinct().join(found, "doc_id", "left")
+    return joined.groupBy("site").agg(F.count("*").alias("n_docs"), F.count("reason").alias("n_cut"), *(F.count_if(F.col("reason") == r).alias(f"n_{r}") for r in ("limit", "mark", "gram"))).withColumn("rate", F.round(F.col("n_cut") / F.col("n_docs"), 6))
