@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkweir.llm import grouped_splits, leaks, overlap, site_lines, truncation
+from inkweir.llm import grouped_splits, junk, leaks, overlap, site_lines, truncation
 from inkweir.operators.timestamps import site_of
 from inkweir.plans.registry import Registry
 from inkweir.session import table
@@ -53,6 +53,27 @@ def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.without_lines(documents, site_lines.repeated_lines(documents)).withColumn("n_sentences", F.coalesce(F.size(F.flatten("paragraphs")), F.lit(0)))
 
 
+# ---------------------------------------------------------------- problem 3: template residue and error pages
+
+
+@registry.query("p3_found")
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are template residue, filler, error text or a script notice in place of content."""
+    return junk.residue_documents(table(spark, sf_dir, "documents")).where("residue").select("doc_id").distinct()
+
+
+@registry.query("p3_clean")
+def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that remain, with the numbers of their lines by class."""
+    return junk.residue_documents(table(spark, sf_dir, "documents")).where("not residue").drop("residue", "placeholder")
+
+
+@registry.query("p3_validation")
+def p3_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the line model does on hosts it wasn't trained on, by class, against weak labels."""
+    return spark.createDataFrame(junk.validate_on_unseen_hosts(table(spark, sf_dir, "documents")))
+
+
 # ---------------------------------------------------------------- problem 4: near-same records across splits
 
 
