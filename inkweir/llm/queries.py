@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkweir.llm import grouped_splits, junk, leaks, overlap, site_lines, truncation
+from inkweir.llm import grouped_splits, junk, leaks, main_body, overlap, site_lines, truncation
 from inkweir.operators.timestamps import site_of
 from inkweir.plans.registry import Registry
 from inkweir.session import table
@@ -128,6 +128,16 @@ def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_splits(spark, sf_dir).groupBy("split_name").agg(F.count("*").alias("n_instances"), F.count_distinct("group_no").alias("n_groups"))
 
 
+# ---------------------------------------------------------------- problem 7: main body of pages
+
+
+@registry.query("p7_found")
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main-body blocks of every page and document, as MD5."""
+    blocks = main_body.main_bodies(table(spark, sf_dir, "ref_html"), table(spark, sf_dir, "documents"))
+    return blocks.select("rec_kind", "rec_id", main_body.block_md5(F.col("block")).alias("block_md5")).distinct()
+
+
 # ---------------------------------------------------------------- problem 9: evaluation texts in training text
 
 
