@@ -54,3 +54,12 @@ def spaced_words(text: pd.Series) -> pd.Series:
 def word_hash(word: str) -> int:
     """64-bit hash of a word, the same in every process."""
     return xxhash.xxh64_intdigest(word)
+
+
+def hashed_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
+    """About ``bound`` rows of ``df``, all if it has no more, chosen by a hash of ``key``: for training on
+    a bounded sample. The choice is made where the rows are; only chosen rows are ever sent."""
+    total = df.count()
+    if total <= bound:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) < int((1 << 30) * bound / total))

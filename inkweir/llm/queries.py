@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkweir.llm import grouped_splits, junk, leaks, main_body, overlap, site_lines, truncation
+from inkweir.llm import grouped_splits, junk, language, leaks, main_body, overlap, site_lines, truncation
 from inkweir.operators.timestamps import site_of
 from inkweir.plans.registry import Registry
 from inkweir.session import table
@@ -128,6 +128,30 @@ def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_splits(spark, sf_dir).groupBy("split_name").agg(F.count("*").alias("n_instances"), F.count_distinct("group_no").alias("n_groups"))
 
 
+# ---------------------------------------------------------------- problem 6: languages
+
+
+@registry.query("p6_found")
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences of at least 40 letters in another language than their document's label names, or of
+    documents whose label names none."""
+    told = language.identify(table(spark, sf_dir, "documents"))
+    differs = F.col("label").isNull() | (F.col("label") != F.col("lang_code"))
+    return told.where((F.col("letters") >= 40) & F.col("lang_code").isNotNull() & differs).select("doc_id", "para_no", "sent_no", "lang_code").distinct()
+
+
+@registry.query("p6_sentences")
+def p6_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sentence with its language and a confidence."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@registry.query("p6_documents")
+def p6_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the language most of it is in, and a confidence."""
+    return language.document_languages(language.identify(table(spark, sf_dir, "documents")))
+
+
 # ---------------------------------------------------------------- problem 7: main body of pages
 
 
