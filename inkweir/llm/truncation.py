@@ -38,12 +38,19 @@ def _classes(block: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(F.lower(flat), ',;:"«»“”()[]', ""), " +", " "))
 
 
-def _blocks(documents: DataFrame) -> DataFrame:
-    text = F.translate(F.col("text"), "\t \r", "   ")
-    told = documents.select("doc_id", F.filter(F.split(text, r"\n\s*\n"), lambda b: F.trim(F.translate(b, "\n", " ")) != "").alias("blocks")).where(F.size("blocks") > 0)
-    each = told.select("doc_id", F.size("blocks").alias("n"), F.posexplode("blocks").alias("no", "block"))
-    block = F.trim(F.translate("block", "\n", " "))
-    return each.select("doc_id", (F.col("no") == F.col("n") - 1).alias("last"), block.alias("block"), F.split(_classes(block), " ").alias("tokens"))
+def _text_blocks(documents: DataFrame) -> DataFrame:
+    """(doc_id, blocks): the non-blank blocks of each text, between empty lines."""
+    text = F.translate(F.col("text"), "\t \r", "   ")
+    blocks = F.filter(F.split(text, r"\n\s*\n"), lambda b: F.trim(F.translate(b, "\n", " ")) != "")
+    return documents.select("doc_id", blocks.alias("blocks")).where(F.size("blocks") > 0)
+
+
+def _flat(block: Column) -> Column:
+    return F.trim(F.translate(block, "\n", " "))
+
+
+def _tokens(block: Column) -> Column:
+    return F.split(_classes(block), " ")
 
 
 def _bare(token: Column) -> Column:
@@ -61,9 +68,11 @@ def _heads(tokens: Column) -> tuple[Column, Column]:
     return F.concat_ws(" ", first, F.coalesce(F.get(tokens, F.lit(1)), F.lit(""))), first
 
 
-def gram_counts(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """blocks to counts (key, goes_on, ends) of all trigrams and of all bigrams. The last word of a
-    text, whose end is in question, isn't counted."""
+def gram_counts(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """texts(blocks) to counts (key, goes_on, ends) of all trigrams and of all bigrams. The last word of
+    a text, whose end is in question, isn't counted."""
+    each = texts.select(F.size("blocks").alias("n"), F.posexplode("blocks").alias("no", "block"))
+    blocks = each.select((F.col("no") == F.col("n") - 1).alias("last"), _tokens(_flat(F.col("block"))).alias("tokens"))
     size = F.size("tokens")
 
     def one(i: Column) -> Column:
@@ -79,11 +88,12 @@ def gram_counts(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     return three.groupBy(F.col("three").alias("key")).agg(F.sum("goes_on").alias("goes_on"), F.sum("ends").alias("ends")), two
 
 
-def block_kinds(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+def block_kinds(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(head, n, bare): how many whole blocks begin with two words, or with one, and how many of those
     end without a full stop. Blocks that end a text are left out."""
-    two, one = _heads(F.col("tokens"))
-    counted = blocks.where("not last").select(two.alias("two"), one.alias("one"), F.col("block").rlike(_ENDS).alias("full")).groupBy("two", "one").agg(F.count("*").alias("n"), F.count_if(~F.col("full")).alias("bare"))
+    whole = texts.where(F.size("blocks") > 1).select(F.explode(F.slice("blocks", 1, F.size("blocks") - 1)).alias("block")).select(_flat(F.col("block")).alias("block"))
+    two, one = _heads(_tokens(F.substring_index("block", " ", 2)))
+    counted = whole.select(two.alias("two"), one.alias("one"), F.right("block", F.lit(6)).rlike(_ENDS).alias("full")).groupBy("two", "one").agg(F.count("*").alias("n"), F.count_if(~F.col("full")).alias("bare"))
     return counted.select(F.col("two").alias("head"), "n", "bare"), counted.groupBy(F.col("one").alias("head")).agg(F.sum("n").alias("n"), F.sum("bare").alias("bare"))
 
 
@@ -108,9 +118,9 @@ def truncated(documents: DataFrame) -> DataFrame:
     """
     told = documents.select("doc_id", site_of(F.col("canonical_url")).alias("site"), "text").where("text is not null and text rlike '\\\\S'")
     site = F.coalesce("site", F.lit(""))
-    blocks = _blocks(told)
-    three, two = gram_counts(blocks)
-    kinds_two, kinds_one = block_kinds(blocks)
+    texts = _text_blocks(told)
+    three, two = gram_counts(texts)
+    kinds_two, kinds_one = block_kinds(texts)
     limits = length_limits(told.withColumn("site", site))
     at_limit = told.select("doc_id", F.explode(F.array(F.struct(site.alias("site"), F.lit("char").alias("unit"), F.length("text").alias("length")), F.struct(site.alias("site"), F.lit("byte").alias("unit"), F.octet_length("text").alias("length")))).alias("x")).select("doc_id", "x.*").join(limits, ["site", "unit", "length"], "left_semi")
     limited = at_limit.select("doc_id", F.lit("limit").alias("reason"))
@@ -118,7 +128,8 @@ def truncated(documents: DataFrame) -> DataFrame:
     broken = F.rtrim("text").rlike(_BROKEN) | F.col("block").rlike(_MARK) | F.col("block").rlike(_ARROWS)
     head_two, head_one = _heads(F.col("tokens"))
     key_three, key_two = _gram_keys(F.col("tokens"), F.size("tokens") - 1)
-    finals = blocks.where("last").select("doc_id", "block", head_two.alias("head_two"), head_one.alias("head_one"), key_three.alias("key_three"), key_two.alias("key_two"))
+    last = texts.select("doc_id", _flat(F.try_element_at("blocks", F.lit(-1))).alias("block")).withColumn("tokens", _tokens(F.col("block")))
+    finals = last.select("doc_id", "block", head_two.alias("head_two"), head_one.alias("head_one"), key_three.alias("key_three"), key_two.alias("key_two"))
     marked = told.join(finals.select("doc_id", "block"), "doc_id").where(broken).select("doc_id", F.lit("mark").alias("reason"))
     ellipsis = F.col("block").rlike(_ELLIPSIS)
     open_ended = finals.where(~F.col("block").rlike(_ENDS) | ellipsis)
