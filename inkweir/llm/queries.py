@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkweir.llm import grouped_splits, junk, language, leaks, main_body, overlap, site_lines, truncation
+from inkweir.llm import grouped_splits, junk, language, leaks, main_body, overlap, packing, site_lines, truncation
 from inkweir.operators.timestamps import site_of
 from inkweir.plans.registry import Registry
 from inkweir.session import table
@@ -162,6 +162,30 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.select("rec_kind", "rec_id", main_body.block_md5(F.col("block")).alias("block_md5")).distinct()
 
 
+# ---------------------------------------------------------------- problem 8: packing
+
+
+@registry.query("p8_assignment")
+def p8_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each capacity: the container of every document, or of its pieces where it is too long."""
+    return packing.assign_each(table(spark, sf_dir, "documents"), table(spark, sf_dir, "containers"))
+
+
+@registry.query("p8_joint")
+def p8_joint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of every document where all capacities may be used together."""
+    return packing.assign_jointly(table(spark, sf_dir, "documents"), table(spark, sf_dir, "containers"))
+
+
+@registry.query("p8_fill")
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers used of each kind, alone and jointly, the least possible number, and the share filled."""
+    each = p8_assignment(spark, sf_dir).withColumn("way", F.lit("each"))
+    joint = p8_joint(spark, sf_dir).withColumn("way", F.lit("joint"))
+    used = each.unionByName(joint).groupBy("way", "container_kind", "capacity").agg(F.count_distinct("container_no").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
+    return used.withColumn("least", F.ceil(F.col("n_tokens") / F.col("capacity"))).withColumn("filled", F.round(F.col("n_tokens") / (F.col("n_containers") * F.col("capacity")), 6))
+
+
 # ---------------------------------------------------------------- problem 9: evaluation texts in training text
 
 
