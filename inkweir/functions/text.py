@@ -85,7 +85,11 @@ def transliterate(text: Column) -> Column:
 def language_scores(text: Column) -> Column:
     """Stop words of each language in a text, as an array in the order of STOP_WORDS."""
     found = words(text)
-    return F.array(*(F.size(F.filter(found, lambda w, ws=ws: w.isin(ws.split()))) for ws in STOP_WORDS.values()))
+
+    def hits(listed: list[str]) -> Column:
+        return F.size(F.filter(found, lambda w: w.isin(listed)))
+
+    return F.array(*(hits(listed.split()) for listed in STOP_WORDS.values()))
 
 
 def detect_language(text: Column) -> Column:
