@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkweir.llm.common import word_hash
+from inkweir.llm.common import hashed_sample, word_hash
 from inkweir.operators.timestamps import site_of
 
 CLASSES = ["prose", "furniture", "filler", "error", "script", "placeholder"]
@@ -28,6 +28,9 @@ SLOTS = 1 << 16
 #: Bound of the training sample, in documents.
 SAMPLE_DOCS = 5000
 
+#: Lines whose n-grams are in memory at a time.
+CHUNK = 4096
+
 # Phrases (lower case, no accents) that betray a kind of text.
 ERROR_PHRASES = [
     "could not be found on this server", "page not found", "access denied", "access to this page is forbidden", "service unavailable", "service temporarily unavailable", "internal server error",
@@ -195,10 +198,10 @@ def weak_label(line: str, low: str, sentences_around: int, site_docs: int, corpu
 
 
 def sample_lines(documents: DataFrame, sample_docs: int = SAMPLE_DOCS) -> pd.DataFrame:
-    """Lines of at most ``sample_docs`` documents, chosen by a hash of their id: (site, doc_id, title,
+    """Lines of about ``sample_docs`` documents, chosen by a hash of their id: (site, doc_id, title,
     para_no, sent, label), label the weak label or -1."""
     told = documents.select("doc_id", site_of(F.col("canonical_url")).alias("site"), "title", "paragraphs")
-    picked = told.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs).toPandas()
+    picked = hashed_sample(told, "doc_id", sample_docs).toPandas()
     rows = [(s, d, t, p, len(para), x) for d, s, t, paras in zip(picked["doc_id"], picked["site"], picked["title"], picked["paragraphs"]) if paras is not None for p, para in enumerate(paras) if para is not None for x in para if x]
     by_site, by_line = defaultdict(set), defaultdict(set)
     lows = []
@@ -251,5 +254,6 @@ class LineClassifier:
         index = np.array([place.setdefault(x, len(place)) for x in lines], dtype=np.int64)
         if not len(index):
             return index
-        probabilities = self.model.probabilities(*ngram_slots([line_tokens(x) for x in place], self.known))
-        return probabilities.argmax(axis=1)[index]
+        different = list(place)
+        best = [self.model.probabilities(*ngram_slots([line_tokens(x) for x in different[i : i + CHUNK]], self.known)).argmax(axis=1) for i in range(0, len(different), CHUNK)]
+        return np.concatenate(best)[index]
