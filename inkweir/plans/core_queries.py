@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from inkweir.functions import text as tx
 from inkweir.functions import urls
@@ -655,3 +656,30 @@ def document_use(spark: SparkSession, sf_dir: str) -> DataFrame:
 def site_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of each site, the site taken from the key."""
     return table(spark, sf_dir, "documents").groupBy(site_of(F.col("canonical_url")).alias("site")).agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- markup
+
+
+@registry.query("html_body_paragraphs")
+def html_body_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs and characters of the body text of each page that has some."""
+    from inkweir.sources.markup import extract_bodies
+
+    pages = table(spark, sf_dir, "ref_html").select(F.col("html_id").cast("string").alias("canonical_url"), "html")
+    return extract_bodies(pages).select(F.col("canonical_url").cast("bigint").alias("html_id"), "title", F.size("paragraphs").alias("n_paragraphs"), F.length("text").alias("n_chars"))
+
+
+@registry.query(
+    "section_sessions",
+    sql="""WITH e AS (SELECT inst_no, page_id, headings[1] AS h FROM instances WHERE page_id IS NOT NULL), f AS (SELECT *, CASE WHEN h IS DISTINCT FROM lag(h) OVER w THEN 1 ELSE 0 END AS starts FROM e WINDOW w AS (PARTITION BY page_id ORDER BY inst_no)),
+    s AS (SELECT *, sum(starts) OVER (PARTITION BY page_id ORDER BY inst_no) AS section FROM f) SELECT page_id, CAST(section AS BIGINT) AS section, count(*) AS n, min(inst_no) AS first_no FROM s GROUP BY 1, 2""",
+)
+def section_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of instances under one heading, page by page in order of their number."""
+    w = Window.partitionBy("page_id").orderBy("inst_no")
+    rows = table(spark, sf_dir, "instances").where("page_id is not null").select("inst_no", "page_id", F.get("headings", F.lit(0)).alias("h"))
+    first = F.row_number().over(w) == 1
+    starts = (first & F.col("h").isNotNull()) | (~first & ~F.col("h").eqNullSafe(F.lag("h").over(w)))
+    marked = rows.withColumn("starts", F.when(starts, 1).otherwise(0))
+    return marked.withColumn("section", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).groupBy("page_id", "section").agg(F.count("*").alias("n"), F.min("inst_no").alias("first_no"))
