@@ -24,6 +24,8 @@ from inkweir.llm.common import plain_words, spaced_words
 from inkweir.session import cut
 
 MAX_VOCABULARY = 2_000_000
+#: Candidate pairs up to which they are sent to the documents (some 50 bytes each) instead of the documents to them.
+MAX_CANDIDATES = 1_000_000
 #: Rarest terms of a run whose position lists are intersected.
 TERMS = 3
 
@@ -122,7 +124,9 @@ def leaked_items(documents: DataFrame, items: DataFrame, run: int = 12) -> DataF
     met = found.where(F.size("at") >= F.lit(min(TERMS, run))).join(needed, "item_id")
     met = met.where(F.exists("needed", lambda keys: F.size(F.array_except(keys, F.col("at"))) == 0))
     pairs = cut(met.groupBy("doc_id", "item_id").agg(F.collect_set("shift").alias("shifts")))
-    texts = documents.select("doc_id", "text").where("text is not null").join(pairs, "doc_id").join(items.select("item_id", F.col("text").alias("item")), "item_id")
+    # the texts of the few candidates are picked where they lie; beyond the bound they are shuffled
+    near = F.broadcast(pairs) if pairs.count() <= MAX_CANDIDATES else pairs
+    texts = documents.select("doc_id", "text").where("text is not null").join(near, "doc_id").join(items.select("item_id", F.col("text").alias("item")), "item_id")
     checked = texts.select("doc_id", "item_id", _run_on_diagonals("text", "item", "shifts").alias("longest"))
     return checked.where(F.col("longest") >= run).groupBy("doc_id", "item_id").agg(F.max("longest").alias("longest"))
 
