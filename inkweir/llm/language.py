@@ -32,7 +32,9 @@ NONE = len(LANGUAGES)
 SLOTS_BITS = 17
 ORDERS = (1, 2, 3, 4)
 #: Bounds of the training sample: documents looked at, sentences of each language.
-SAMPLE_DOCS, PER_LANGUAGE = 6000, 3000
+SAMPLE_DOCS, PER_LANGUAGE = 4000, 1500
+#: Sentences whose n-grams are in memory at a time.
+CHUNK = 2048
 _WORD = re.compile(r"[^\W\d_]+")
 _NON_LETTERS = re.compile(r"[\W\d_]+")
 _MULTIPLIER = np.uint32(2654435761)
@@ -116,6 +118,8 @@ class LanguageModel:
         return self._used
 
     def probabilities(self, texts: list[bytes]) -> np.ndarray:
+        if len(texts) > CHUNK:
+            return np.concatenate([self.probabilities(texts[i : i + CHUNK]) for i in range(0, len(texts), CHUNK)])
         s = self.scores(texts) / self.temperature
         s = np.exp(s - s.max(axis=1, keepdims=True)) if len(s) else s
         return s / s.sum(axis=1, keepdims=True) if len(s) else s
@@ -126,13 +130,17 @@ def train_ftrl(texts: list[bytes], labels: np.ndarray, classes: int, alpha: floa
     gradient stays within ``l1`` are exactly zero. No texts give a model of zeros."""
     size = 1 << SLOTS_BITS
     slots, owners = ngram_features(texts)
-    df = np.bincount(np.unique(owners.astype(np.int64) * size + slots) % size, minlength=size)
+    order_by = np.argsort(owners, kind="stable")
+    slots, owners = slots[order_by], owners[order_by].astype(np.int32)
+    del order_by
+    starts = np.searchsorted(owners, np.arange(len(texts) + 1))
+    df = np.zeros(size, np.int64)
+    for at in range(0, len(texts), CHUNK):
+        part = slice(starts[at], starts[min(at + CHUNK, len(texts))])
+        df += np.bincount(np.unique(owners[part].astype(np.int64) * size + slots[part]) % size, minlength=size)
     idf = np.where(df > 0, np.log((1 + len(texts)) / (1 + df)) + 1, 1).astype(np.float32)
     z, n = np.zeros((size, classes), np.float32), np.zeros((size, classes), np.float32)
     zb, nb, bias = np.zeros(classes), np.zeros(classes), np.zeros(classes)
-    order_by = np.argsort(owners, kind="stable")
-    slots, owners = slots[order_by], owners[order_by]
-    starts = np.searchsorted(owners, np.arange(len(texts) + 1))
     norms = np.sqrt(np.maximum(np.bincount(owners, idf[slots] ** 2, max(1, len(texts))), 1e-9))
     rng = np.random.default_rng(seed)
 
