@@ -1,8 +1,7 @@
 """Splits that keep related records together.
 
-Records sharing an entity or a source form groups: connected components, found by alternating large-star
-and small-star rounds, each a minimum per node (combined before the shuffle) and a join, with the edges
-written to the checkpoint folder between rounds. Whole groups are then allocated by a min-cost flow:
+Records sharing an entity or a source form groups: connected components of records, each linked to the
+smallest one of its entity and of each of its sources. Whole groups are then allocated by a min-cost flow:
 groups of one size and one label profile are a bundle, bundles flow into the splits' quotas at the cost
 of leaving the split that most of their records had, and the flow is rounded to whole groups. The members
 of a bundle take the splits in the order of a hash.
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from inkweir.operators.graph import connected_components
 from inkweir.session import cut
 
 #: Hash buckets by which the members of a bundle are ranked; a task ranks one bucket.
@@ -32,38 +32,12 @@ def same_url(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(url), r"#[\s\S]*$", ""), r"\?utm_[\s\S]*$", ""), r"/+$", "")
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One round over edges(u > v). Large star: every larger neighbour of a node is linked to the
-    smallest of the node and its neighbours; small star: the node and its smaller neighbours are."""
-    if large:
-        near = edges.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(edges.select(F.col("v").alias("a"), F.col("u").alias("b")))
-        least = near.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        linked = near.where("b > a").join(least, "a").select(F.col("b").alias("u"), F.col("m").alias("v"))
-    else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        linked = edges.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
-    return linked.where("u <> v").distinct()
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """edges(u, v) of ids to (node, root), root the smallest id of the node's component. Nodes that
-    are their own root are left out. Null ends, loops and repeated edges do no harm; no edges, no rows."""
-    now = cut(edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state = None
-    while True:
-        after = cut(_star(_star(now, large=True), large=False))
-        seen = after.agg(F.count("*"), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)"))).first()
-        if tuple(seen) == state:
-            return after.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        now, state = after, tuple(seen)
-
-
 def record_groups(records: DataFrame) -> DataFrame:
     """records(rec_id, entity, sources array<string>) to (rec_id, group_no): records that share a
     non-null entity or a non-null source, directly or through others, have one group, named by its
-    smallest rec_id. Records without either, and with null or empty sources, stand alone; repeated rows
-    give one row; an empty table gives none."""
-    told = records.select("rec_id", F.col("entity"), F.filter(F.array_distinct(F.coalesce("sources", F.array().cast("array<string>"))), lambda s: s.isNotNull()).alias("sources"))
+    smallest rec_id. Records without either, and with null or empty sources, stand alone; records
+    without an id are left out; repeated rows give one row; an empty table gives none."""
+    told = records.where("rec_id is not null").select("rec_id", F.col("entity"), F.filter(F.array_distinct(F.coalesce("sources", F.array().cast("array<string>"))), lambda s: s.isNotNull()).alias("sources"))
     by_entity = told.where("entity is not null").groupBy("entity").agg(F.min("rec_id").alias("root"))
     rooted = told.join(by_entity, "entity", "left").select("rec_id", F.coalesce("root", "rec_id").alias("root"), "sources")
     rooted = cut(rooted)
@@ -72,7 +46,7 @@ def record_groups(records: DataFrame) -> DataFrame:
     edges = cited.join(least, "source").select(F.col("root").alias("u"), F.col("least").alias("v"))
     # one record may stand in several rows with different entities
     same = rooted.groupBy("rec_id").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(F.col("high").alias("u"), F.col("low").alias("v"))
-    roots = components(edges.unionByName(same))
+    roots = connected_components(edges.unionByName(same))
     return rooted.select("rec_id", "root").distinct().join(roots.toDF("root", "group_no"), "root", "left").select("rec_id", F.coalesce("group_no", "root").alias("group_no")).distinct()
 
 
@@ -160,6 +134,7 @@ def split_groups(groups: DataFrame, labels: DataFrame, shares: dict[str, float]
     their own. Deterministic for a seed. An empty table gives no rows."""
     shares = shares or {"train": 0.8, "valid": 0.1, "test": 0.1}
     names = list(shares)
+    groups = groups.select("rec_id", "group_no")
     once = labels.groupBy("rec_id").agg(F.min("label").alias("label"))
     told = groups.join(once, "rec_id", "left")
     counted = [F.count_if(F.col("label") == s).alias(f"n_{i}") for i, s in enumerate(names)]

@@ -91,7 +91,7 @@ def judge_documents(documents: DataFrame, judge: DocumentJudge) -> DataFrame:
     """documents(doc_id, canonical_url, title, paragraphs) to one row per row: (doc_id, site, n_prose,
     n_furniture, n_filler, n_error, n_script, placeholder, error_title, residue).
 
-    Null titles and paragraphs count as empty; an empty document under an ordinary title is no residue;
+    Null titles and paragraphs count as empty; rows without an id are left out; an empty document under an ordinary title is no residue;
     repeated rows are judged each; documents of any length are judged whole.
     """
 
@@ -119,7 +119,7 @@ def judge_documents(documents: DataFrame, judge: DocumentJudge) -> DataFrame:
             residue = unfilled | ((prose == 0) & ((junk > 0) | error)) | ((prose > 0) & (count[lm.FILLER] >= STRAY * prose))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "site": batch["site"], "n_prose": count[lm.PROSE], "n_furniture": count[lm.FURNITURE], "n_filler": count[lm.FILLER], "n_error": count[lm.ERROR], "n_script": count[lm.SCRIPT], "placeholder": unfilled, "error_title": error, "residue": residue})
 
-    told = documents.select("doc_id", site_of(F.col("canonical_url")).alias("site"), "title", "paragraphs")
+    told = documents.where("doc_id is not null").select("doc_id", site_of(F.col("canonical_url")).alias("site"), "title", "paragraphs")
     return told.mapInPandas(run, "doc_id bigint, site string, n_prose bigint, n_furniture bigint, n_filler bigint, n_error bigint, n_script bigint, placeholder boolean, error_title boolean, residue boolean")
 
 

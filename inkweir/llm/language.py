@@ -243,7 +243,7 @@ def sentence_languages(documents: DataFrame, model: LanguageModel) -> DataFrame:
     letters, lang_code, confidence). label is the language the document's label names, or null;
     lang_code is null for text without language, as for a sentence without letters, whose confidence is 0.
 
-    Null paragraphs and sentences give no rows; repeated rows are classified each; sentences of any
+    Null ids, paragraphs and sentences give no rows; repeated rows are classified each; sentences of any
     length are read whole; an empty table gives none.
     """
 
@@ -269,7 +269,7 @@ def sentence_languages(documents: DataFrame, model: LanguageModel) -> DataFrame:
             own = np.array(owners, dtype=np.int64)
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[own], "label": batch["label"].to_numpy()[own], "para_no": np.array(paras, dtype=np.int32), "sent_no": np.array(numbers, dtype=np.int32), "letters": letters, "lang_code": codes[best], "confidence": sure})
 
-    told = documents.select("doc_id", label_code(F.col("lang")).alias("label"), "paragraphs")
+    told = documents.where("doc_id is not null").select("doc_id", label_code(F.col("lang")).alias("label"), "paragraphs")
     return told.mapInPandas(run, "doc_id bigint, label string, para_no int, sent_no int, letters int, lang_code string, confidence double")
 
 

@@ -200,7 +200,7 @@ def weak_label(line: str, low: str, sentences_around: int, site_docs: int, corpu
 def sample_lines(documents: DataFrame, sample_docs: int = SAMPLE_DOCS) -> pd.DataFrame:
     """Lines of about ``sample_docs`` documents, chosen by a hash of their id: (site, doc_id, title,
     para_no, sent, label), label the weak label or -1."""
-    told = documents.select("doc_id", site_of(F.col("canonical_url")).alias("site"), "title", "paragraphs")
+    told = documents.where("doc_id is not null").select("doc_id", site_of(F.col("canonical_url")).alias("site"), "title", "paragraphs")
     picked = hashed_sample(told, "doc_id", sample_docs).toPandas()
     rows = [(s, d, t, p, len(para), x) for d, s, t, paras in zip(picked["doc_id"], picked["site"], picked["title"], picked["paragraphs"]) if paras is not None for p, para in enumerate(paras) if para is not None for x in para if x]
     by_site, by_line = defaultdict(set), defaultdict(set)

@@ -15,7 +15,9 @@ Copies are collapsed before: a text with a third of all rows is one row in the j
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,8 @@ GRAM, WINDOW = 3, 3
 COUNTERS = 1 << 18
 #: Texts of at most so many distinct words also give their rarest single words as fingerprints.
 SHORT = 12
+#: Product of the lengths of two gaps from which a diff stands in for the full table.
+LONG_GAP = 4_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -116,36 +120,49 @@ def fingerprints(reps: DataFrame, counts: np.ndarray, least: float, gram: int =
 
 def chain(places_a: list[int], places_b: list[int]) -> list[tuple[int, int]]:
     """The longest collinear chain of seeds: rising in both texts."""
-    seeds = sorted({(p, q) for p, q in zip(places_a, places_b) if p >= 0 and q >= 0})
-    best: list[tuple[int, int]] = []
-    for k, (p, q) in enumerate(seeds):
-        before = max(((best[j][0], j) for j in range(k) if seeds[j][0] < p and seeds[j][1] < q), default=(0, -1))
-        best.append((before[0] + 1, before[1]))
-    if not best:
-        return []
-    at, out = max(range(len(best)), key=lambda k: best[k][0]), []
+    seeds = sorted({(p, q) for p, q in zip(places_a, places_b) if p >= 0 and q >= 0}, key=lambda s: (s[0], -s[1]))
+    ends: list[int] = []  # ends[k]: least last place in b of a chain of k + 1 seeds
+    last: list[int] = []
+    before: list[int] = []
+    for i, (_, q) in enumerate(seeds):
+        k = bisect_left(ends, q)
+        before.append(last[k - 1] if k else -1)
+        if k == len(ends):
+            ends.append(q)
+            last.append(i)
+        else:
+            ends[k], last[k] = q, i
+    out, at = [], last[-1] if last else -1
     while at >= 0:
         out.append(seeds[at])
-        at = best[at][1]
+        at = before[at]
     return out[::-1]
 
 
+def _common(x: list[str], y: list[str]) -> int:
+    """Length of a common subsequence of two gaps: the longest, or for very long gaps that of the blocks
+    that a diff finds."""
+    if len(x) * len(y) > LONG_GAP:
+        return sum(m.size for m in SequenceMatcher(None, x, y).get_matching_blocks())
+    row = [0] * (len(y) + 1)
+    for u in x:
+        last = 0
+        for j, v in enumerate(y):
+            last, row[j + 1] = row[j + 1], last + 1 if u == v else max(row[j + 1], row[j])
+    return row[-1]
+
+
 def aligned(a: list[str], b: list[str], seeds: list[tuple[int, int]]) -> int:
     """Words matched when the chain is extended by alignment: seeds stretched while words agree, and
-    the longest common subsequence of what lies between two stretched seeds."""
+    a common subsequence of what lies between two stretched seeds."""
     matched = at_a = at_b = 0
     for p, q in [*seeds, (len(a), len(b))]:
         if p < at_a or q < at_b:
             continue
-        while p > at_a and q > at_b and p < len(a) and a[p - 1] == b[q - 1]:
-            p, q = p - 1, q - 1
-        x, y = a[at_a:p], b[at_b:q]
-        row = [0] * (len(y) + 1)
-        for u in x:
-            last = 0
-            for j, v in enumerate(y):
-                last, row[j + 1] = row[j + 1], last + 1 if u == v else max(row[j + 1], row[j])
-        matched += row[-1]
+        start_p, start_q = p, q
+        while start_p > at_a and start_q > at_b and a[start_p - 1] == b[start_q - 1]:
+            start_p, start_q = start_p - 1, start_q - 1
+        matched += _common(a[at_a:start_p], b[at_b:start_q]) + p - start_p
         while p < len(a) and q < len(b) and a[p] == b[q]:
             p, q, matched = p + 1, q + 1, matched + 1
         at_a, at_b = p, q
@@ -171,10 +188,10 @@ def cross_split_overlaps(records: DataFrame, least: float = 0.7, gram: int = GRA
       one of another split, whose distinct words have a Jaccard similarity of at least ``least``;
       matched is the number of aligned words. A class in both splits is linked with itself.
 
-    A null split, and a null or wordless text, take no part. Ties at ``least`` are in; repeated rows
+    A null id or split, and a null or wordless text, take no part. Ties at ``least`` are in; repeated rows
     fall into one class; an empty table gives two empty ones. Very long texts are compared whole.
     """
-    told = records.select("rec_id", "split_name", "text").where("split_name is not null and text is not null")
+    told = records.select("rec_id", "split_name", "text").where("rec_id is not null and split_name is not null and text is not null")
     worded = told.select("rec_id", "split_name", spaced_words("text").alias("words")).where("words <> ''")
     train = F.col("split_name") == "train"
     reps = cut(worded.groupBy("words").agg(F.min("rec_id").alias("rep"), F.bool_or(train).alias("in_train"), F.bool_or(~train).alias("in_eval")))

@@ -116,7 +116,7 @@ def truncated(documents: DataFrame) -> DataFrame:
     make one group for limits. Repeated rows give one row; an empty table gives none. Whole texts are
     read, of any length; a text of one word is asked like any other.
     """
-    told = documents.select("doc_id", site_of(F.col("canonical_url")).alias("site"), "text").where("text is not null and text rlike '\\\\S'")
+    told = documents.select("doc_id", site_of(F.col("canonical_url")).alias("site"), "text").where("doc_id is not null and text is not null and text rlike '\\\\S'")
     site = F.coalesce("site", F.lit(""))
     texts = _text_blocks(told)
     three, two = gram_counts(texts)
