@@ -27,7 +27,7 @@ MAX_VOCABULARY = 2_000_000
 #: Candidate pairs up to which they are sent to the documents (some 50 bytes each) instead of the documents to them.
 MAX_CANDIDATES = 1_000_000
 #: Rarest terms of a run whose position lists are intersected.
-TERMS = 3
+TERMS = 2
 
 
 def item_terms(items: DataFrame) -> DataFrame:
