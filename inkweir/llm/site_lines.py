@@ -49,10 +49,13 @@ def line_templates(documents: DataFrame, least: int = 5, share: float = 0.05, de
     hot = cut(lines.join(leaves, ["site", "path"]))
     slots = hot.select("site", "path", "needed", F.posexplode("tokens").alias("pos", "token")).groupBy("site", "path", "needed", "pos", "token").agg(F.count("*").alias("rows")).where("rows >= needed")
     frequent = slots.groupBy("site", "path").agg(F.collect_list(F.concat_ws(" ", "pos", "token")).alias("frequent"))
-    parsed = hot.join(frequent, ["site", "path"], "left").withColumn(
-        "template",
-        F.array_join(F.transform("tokens", lambda t, i: F.when(F.array_contains("frequent", F.concat_ws(" ", i, t)), t).otherwise(F.lit(WILDCARD))), " "),
-    )
+    # set operations hash, so a very long line costs no more than its tokens
+    marked = F.transform("tokens", lambda t, i: F.concat_ws(" ", i, t))
+    known = F.coalesce("frequent", F.array().cast("array<string>"))
+    place = lambda m: F.substring_index(m, " ", 1).cast("int")
+    kept = F.transform(F.array_intersect(marked, known), lambda m: F.struct(place(m).alias("pos"), F.regexp_replace(m, r"^\d+ ", "").alias("token")))
+    slots_of = F.transform(F.array_except(marked, known), lambda m: F.struct(place(m).alias("pos"), F.lit(WILDCARD).alias("token")))
+    parsed = hot.join(frequent, ["site", "path"], "left").withColumn("template", F.array_join(F.transform(F.array_sort(F.concat(kept, slots_of)), lambda p: p["token"]), " "))
     parsed = parsed.select("doc_id", "para_no", "sent_no", "site", "template", "needed", "site_docs")
     templates = parsed.groupBy("site", "template", "needed", "site_docs").agg(F.count_distinct("doc_id").alias("n_docs")).where("n_docs >= needed")
     templates = templates.select("site", "template", F.size(F.filter(F.split("template", " "), lambda t: t == WILDCARD)).alias("slots"), "n_docs", "site_docs")
