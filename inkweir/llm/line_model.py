@@ -28,6 +28,8 @@ SLOTS = 1 << 16
 #: Bound of the training sample, in documents.
 SAMPLE_DOCS = 5000
 
+#: Probability beyond which a prediction counts as sure.
+SURE = 0.8
 #: Lines whose n-grams are in memory at a time.
 CHUNK = 4096
 
@@ -234,7 +236,7 @@ def train_line_model(lines: pd.DataFrame) -> LinearModel:
     if marked.any():
         guess = model.probabilities(slots, starts)
         best, sure = guess.argmax(axis=1), guess.max(axis=1)
-        relabel = (~marked | ((labels == PROSE) & (best == FURNITURE))) & (sure > 0.8)
+        relabel = (~marked | ((labels == PROSE) & (best == FURNITURE))) & (sure > SURE)
         labels = np.where(relabel, best, labels)
         marked = labels >= 0
         model = train_linear(*subset(marked), labels[marked], len(CLASSES), epochs=4)
@@ -248,12 +250,16 @@ class LineClassifier:
         self.model, self.known = model, {}
 
     def __call__(self, lines: list[str]) -> np.ndarray:
+        return self.judge(lines)[0]
+
+    def judge(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The class of each line and its probability."""
         if len(self.known) > 500_000:
             self.known.clear()
         place: dict[str, int] = {}
         index = np.array([place.setdefault(x, len(place)) for x in lines], dtype=np.int64)
         if not len(index):
-            return index
+            return index, np.zeros(0, np.float32)
         different = list(place)
-        best = [self.model.probabilities(*ngram_slots([line_tokens(x) for x in different[i : i + CHUNK]], self.known)).argmax(axis=1) for i in range(0, len(different), CHUNK)]
-        return np.concatenate(best)[index]
+        told = [self.model.probabilities(*ngram_slots([line_tokens(x) for x in different[i : i + CHUNK]], self.known)) for i in range(0, len(different), CHUNK)]
+        return np.concatenate([t.argmax(axis=1) for t in told])[index], np.concatenate([t.max(axis=1) for t in told])[index]

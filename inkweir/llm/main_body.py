@@ -4,9 +4,11 @@ Markup is stripped to lines (text between block-level tags, cells, items or doub
 line counts with the length of its text outside links if the line model takes it for prose, and not at
 all if it is furniture, filler, an error text or a reader's comment. Lengths are summed over a sliding
 window of lines; the text surges where the sums rise from nothing and dives where they fall back, and
-what lies between is kept. A page has one body: of several stretches the heaviest is kept, with those
-that only a gap of furniture separates from it. In a document, whose lines were taken from the page's
-text already, all stretches are body. Inside a stretch the blocks with prose are the main blocks.
+what lies between is kept, but for lines that are surely furniture, filler, errors or comments. A line
+that the model doubts belongs to the text whose windows it lies in, and makes no text of its own.
+A page has one body: of several stretches the heaviest is kept, with those that only a gap of furniture
+separates from it. In a document, whose lines were taken from the page's text already, all stretches
+are body.
 """
 
 from __future__ import annotations
@@ -100,10 +102,12 @@ def stretches(weights: np.ndarray, window: int = WINDOW) -> list[tuple[int, int]
     return out
 
 
-def keep_body(weights: np.ndarray, whole: bool, window: int = WINDOW) -> np.ndarray:
-    """Which lines lie in the body: of all stretches if ``whole``, else of the heaviest."""
+def keep_body(weights: np.ndarray, whole: bool, window: int = WINDOW, doubted: np.ndarray | None = None) -> np.ndarray:
+    """Which lines lie in the body: of all stretches if ``whole``, else of the heaviest. Lines that are
+    ``doubted`` lengthen a stretch but don't make one."""
     keep = np.zeros(len(weights), bool)
-    found = stretches(weights, window)
+    found = stretches(weights if doubted is None else np.where(doubted, np.maximum(weights, 1), weights), window)
+    found = [s for s in found if weights[s[0] : s[1]].any()]
     if found and not whole:
         found = [max(found, key=lambda s: (weights[s[0] : s[1]].sum(), -s[0]))]
     for start, end in found:
@@ -111,15 +115,17 @@ def keep_body(weights: np.ndarray, whole: bool, window: int = WINDOW) -> np.ndar
     return keep
 
 
-def _judge(blocks: list[list[str]], classify: lm.LineClassifier) -> np.ndarray:
-    """Characters of prose in each block of sentences."""
+def _judge(blocks: list[list[str]], classify: lm.LineClassifier) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of prose in each block of sentences; whether it has none, but no sentence that is surely
+    something else."""
     flat = [s for b in blocks for s in b]
-    classes = classify(flat)
-    noted = [bool(b) and _AUTHOR_NOTE.match(b[0]) is not None for b in blocks for _ in b]
-    lengths = np.array([len(s) if c == lm.PROSE and not note else 0 for s, c, note in zip(flat, classes, noted)], dtype=np.int64)
-    ends = np.cumsum([len(b) for b in blocks]) if blocks else np.zeros(0, np.int64)
-    total = np.concatenate([[0], np.cumsum(lengths)])
-    return total[ends] - total[ends - np.array([len(b) for b in blocks], dtype=np.int64)] if blocks else ends
+    classes, sure = classify.judge(flat)
+    noted = np.array([bool(b) and _AUTHOR_NOTE.match(b[0]) is not None for b in blocks for _ in b], dtype=bool)
+    owner = np.repeat(np.arange(len(blocks)), [len(b) for b in blocks])
+    of_prose = (classes == lm.PROSE) & ~noted
+    prose = np.bincount(owner[of_prose], np.fromiter(map(len, flat), np.int64, len(flat))[of_prose], len(blocks)).astype(np.int64)
+    other = np.bincount(owner[noted | ((classes != lm.PROSE) & (sure > lm.SURE))], minlength=len(blocks)) > 0
+    return prose, (prose == 0) & ~other & np.array([len(b) > 0 for b in blocks], dtype=bool)
 
 
 def page_bodies(pages: DataFrame, model: lm.LinearModel) -> DataFrame:
@@ -134,15 +140,17 @@ def page_bodies(pages: DataFrame, model: lm.LinearModel) -> DataFrame:
                 pages_of.append(page_lines(markup) if isinstance(markup, str) else [])
                 starts.append(starts[-1] + len(pages_of[-1]))
             lines = [x for p in pages_of for x in p]
-            prose = _judge([block_sentences(t) for t, _ in lines], classify)
+            prose, unsure = _judge([block_sentences(t) for t, _ in lines], classify)
             ids, numbers, blocks = [], [], []
             for k, page in enumerate(pages_of):
-                weights = prose[starts[k] : starts[k + 1]].astype(float)
+                weights, doubted = prose[starts[k] : starts[k + 1]].astype(float), unsure[starts[k] : starts[k + 1]].copy()
                 noted = comments(page)
                 for i, (text, linked) in enumerate(page):
                     if noted[i] or linked >= 0.6 * len(text):
-                        weights[i] = 0
-                kept = keep_body(weights, whole=False) & (weights > 0) if len(page) else np.zeros(0, bool)
+                        weights[i], doubted[i] = 0, False
+                    elif " " not in text and any(noted[i + 1 : i + 2]):  # the reader's name before a comment
+                        doubted[i] = False
+                kept = keep_body(weights, whole=False, doubted=doubted) & ((weights > 0) | doubted)
                 for i in np.nonzero(kept)[0]:
                     ids.append(batch["html_id"].iloc[k])
                     numbers.append(i)
@@ -166,12 +174,12 @@ def document_bodies(documents: DataFrame, model: lm.LinearModel) -> DataFrame:
                         owners.append(k)
                         numbers.append(i)
                         paragraphs.append([s for s in para if s])
-            prose = _judge(paragraphs, classify)
+            prose, doubted = _judge(paragraphs, classify)
             owner, kept = np.array(owners, dtype=np.int64), np.zeros(len(owners), bool)
             for k in np.unique(owner):
                 at = slice(*np.searchsorted(owner, [k, k + 1]))
-                kept[at] = keep_body(prose[at].astype(float), whole=True)
-            kept &= prose > 0
+                kept[at] = keep_body(prose[at].astype(float), whole=True, doubted=doubted[at])
+            kept &= (prose > 0) | doubted
             chosen = np.nonzero(kept)[0]
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[owner[chosen]], "block_no": np.array(numbers, dtype=np.int32)[chosen] if len(numbers) else np.zeros(0, np.int32), "block": [" ".join(paragraphs[i]) for i in chosen]}).astype({"doc_id": "int64", "block": "object"})
 

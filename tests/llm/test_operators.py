@@ -319,6 +319,21 @@ def test_stretches():
     assert list(main_body.keep_body(np.array([1.0, 0, 0, 0, 0, 0, 9.0]), whole=False, window=3)) == [False] * 6 + [True]
 
 
+def test_body_keeps_doubted_lines_between_surge_and_dive(spark):
+    model = line_model.LinearModel(np.zeros((line_model.SLOTS, 6), np.float32), np.array([2, 0, -9, -9, -9, -9], np.float32))
+    for word, weight in [("notice", 40), ("perhaps", 11)]:  # surely furniture; furniture, but not surely
+        model.weights[line_model.ngram_slots([[word]], {})[0][0], line_model.FURNITURE] = weight
+    lines = ["a notice", "the bridge opened", "it perhaps closed", "one notice", "they went on", "it perhaps end", *["some notice"] * 5, "so perhaps not"]
+    body = [1, 2, 4, 5]
+    classes, sure = line_model.LineClassifier(model).judge(lines)
+    assert [c == line_model.PROSE for c in classes] == [i in (1, 4) for i in range(12)] and [p > line_model.SURE for p in sure[[0, 2, 3, 5, 11]]] == [True, False, True, False, False]
+    rows = [(1, "example,h)/1", "T", "en", "", [[x] for x in lines]), (2, "example,h)/2", "T", "en", "", [["so perhaps not"], []]), (3, "example,h)/3", "T", "en", "", [["the bridge opened"], ["it perhaps closed", "one notice"]])]
+    own = [(r["doc_id"], r["block_no"]) for r in main_body.document_bodies(docs(spark, rows), model).collect()]
+    assert sorted(own) == [(1, i) for i in body] + [(3, 0)]
+    pages = spark.createDataFrame([(1, "".join(f"<p>{x}</p>" for x in lines)), (2, "<p>so perhaps not"), (3, "<p>the bridge opened<p><a href=/>it perhaps closed</a>")], "html_id bigint, html string")
+    assert sorted((r["html_id"], r["block_no"]) for r in main_body.page_bodies(pages, model).collect()) == [(1, i) for i in body] + [(3, 0)]
+
+
 # ---------------------------------------------------------------- languages
 
 
