@@ -11,7 +11,6 @@ or notices that scripts are needed, or if it has no lines but furniture under an
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,21 +65,40 @@ def _counts(classes: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndarray
     return prose, junk
 
 
-def train_judge(sample: pd.DataFrame) -> DocumentJudge:
-    """Both models from ``line_model.sample_lines``."""
+def title_hosts(documents: DataFrame, titles: set[str], model: lm.LinearModel) -> dict[str, int]:
+    """How many hosts have documents, of all, with each of the bare titles over junk without any prose."""
+    if not titles:
+        return {}
+
+    @F.pandas_udf("boolean")
+    def asked(title: pd.Series) -> pd.Series:
+        return pd.Series([bare_title(t) in titles for t in title], dtype=bool)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        classify = lm.LineClassifier(model)
+        for batch in batches:
+            lines = [[x for para in (paras if paras is not None else ()) for x in (para if para is not None else ()) if x] for paras in batch["paragraphs"]]
+            prose, junk = _counts(classify([x for ls in lines for x in ls]), np.repeat(np.arange(len(lines)), [len(ls) for ls in lines]), len(lines))
+            found = (junk > 0) & (prose == 0)
+            yield pd.DataFrame({"title": [bare_title(t) for t in batch["title"][found]], "site": batch["site"][found].to_numpy()}).drop_duplicates().astype("object")
+
+    told = documents.where("doc_id is not null").select(site_of(F.col("canonical_url")).alias("site"), "title", "paragraphs").where(asked("title"))
+    counted = told.mapInPandas(run, "title string, site string").distinct().groupBy("title").agg(F.count("*").alias("n")).toPandas()
+    return dict(zip(counted["title"], counted["n"]))
+
+
+def train_judge(sample: pd.DataFrame, documents: DataFrame) -> DocumentJudge:
+    """Both models from ``line_model.sample_lines`` of documents; the hosts that share a title of the
+    sample are counted over all of them."""
     lines = lm.train_line_model(sample)
     if not len(sample):
         return DocumentJudge(lines, lm.train_linear(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 2))
     classes = lm.LineClassifier(lines)(list(sample["sent"]))
     docs, owners = np.unique(sample["doc_id"].to_numpy(), return_inverse=True)
-    prose, junk = _counts(classes, owners, len(docs))
+    prose, _ = _counts(classes, owners, len(docs))
     titles = [bare_title(t) for t in sample.groupby("doc_id", sort=True)["title"].first()]
-    sites = sample.groupby("doc_id", sort=True)["site"].first()
-    hosts = defaultdict(set)
-    for t, s, p, j in zip(titles, sites, prose, junk):
-        if j and not p:
-            hosts[t].add(s)
-    told = [(t, _title_label(t, p, len(hosts[t]))) for t, p in zip(titles, prose) if t]
+    hosts = title_hosts(documents, {t for t, p in zip(titles, prose) if t and _title_label(t, p, 0) < 0}, lines)
+    told = [(t, _title_label(t, p, hosts.get(t, 0))) for t, p in zip(titles, prose) if t]
     told = [x for x in told if x[1] >= 0 and x[0] and not lm._PLACEHOLDER.search(x[0])]
     told += [(t, 1) for t in ERROR_TITLES] + [(f"{code} {t}", 1) for code in (403, 404, 500, 502, 503) for t in ERROR_TITLES[1:9]]
     slots, starts = lm.ngram_slots([lm.line_tokens(t) for t, _ in told], {})
@@ -125,7 +143,7 @@ def judge_documents(documents: DataFrame, judge: DocumentJudge) -> DataFrame:
 
 def residue_documents(documents: DataFrame, sample_docs: int = lm.SAMPLE_DOCS) -> DataFrame:
     """``judge_documents`` of all documents with models trained on at most ``sample_docs`` of them."""
-    return judge_documents(documents, train_judge(lm.sample_lines(documents, sample_docs)))
+    return judge_documents(documents, train_judge(lm.sample_lines(documents, sample_docs), documents))
 
 
 def validate_on_unseen_hosts(documents: DataFrame, sample_docs: int = lm.SAMPLE_DOCS) -> pd.DataFrame:

@@ -4,14 +4,13 @@ Multinomial logistic regression with an L2 penalty on hashed word n-grams (n = 1
 weak labels: phrases of error pages and filler, placeholder patterns, lines that a site repeats, and
 unique sentences of paragraphs with several. Words are classes as far as names and numbers go, so
 that what one site repeats is known on another that shows it once. The training sample is bounded by
-``sample_docs``; every line of the corpus is classified, in Arrow batches, all n-grams of a batch at
-a time in numpy.
+``sample_docs``, but how often its lines are repeated is counted over all documents; every line of the
+corpus is classified, in Arrow batches, all n-grams of a batch at a time in numpy.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkweir.llm.common import hashed_sample, word_hash
+from inkweir.llm.common import hashed_sample, line_key, word_hash
 from inkweir.operators.timestamps import site_of
 
 CLASSES = ["prose", "furniture", "filler", "error", "script", "placeholder"]
@@ -199,20 +198,35 @@ def weak_label(line: str, low: str, sentences_around: int, site_docs: int, corpu
     return None
 
 
+def document_counts(told: DataFrame, asked: pd.DataFrame) -> dict[tuple[int, str], int]:
+    """How many documents of told(doc_id, site, keys) have each line of asked(key, site), on that site
+    or, where it is *, on any. Only lines asked for are shuffled, once a document."""
+    spark = told.sparkSession
+    places = F.broadcast(spark.createDataFrame(asked, "key bigint, site string"))
+    lines = told.select("doc_id", "site", F.explode(F.array_distinct(F.flatten("keys"))).alias("key")).join(F.broadcast(places.select("key").distinct()), "key", "left_semi")
+    each = lines.groupBy("key", "doc_id").agg(F.array_append(F.collect_set(F.coalesce("site", F.lit(""))), F.lit("*")).alias("sites"))
+    counted = each.select("key", F.explode("sites").alias("site")).join(places, ["key", "site"], "left_semi").groupBy("key", "site").agg(F.count("*").alias("n")).toPandas()
+    return dict(zip(zip(counted["key"], counted["site"]), counted["n"]))
+
+
 def sample_lines(documents: DataFrame, sample_docs: int = SAMPLE_DOCS) -> pd.DataFrame:
     """Lines of about ``sample_docs`` documents, chosen by a hash of their id: (site, doc_id, title,
-    para_no, sent, label), label the weak label or -1."""
-    told = documents.where("doc_id is not null").select("doc_id", site_of(F.col("canonical_url")).alias("site"), "title", "paragraphs")
+    para_no, sent, label), label the weak label or -1. Repetition is counted over all documents."""
+    keys = F.transform(F.filter("paragraphs", lambda p: p.isNotNull()), lambda p: F.transform(p, lambda x: F.xxhash64(line_key(x))))
+    told = documents.where("doc_id is not null").select("doc_id", site_of(F.col("canonical_url")).alias("site"), "title", "paragraphs", keys.alias("keys"))
     picked = hashed_sample(told, "doc_id", sample_docs).toPandas()
-    rows = [(s, d, t, p, len(para), x) for d, s, t, paras in zip(picked["doc_id"], picked["site"], picked["title"], picked["paragraphs"]) if paras is not None for p, para in enumerate(paras) if para is not None for x in para if x]
-    by_site, by_line = defaultdict(set), defaultdict(set)
-    lows = []
-    for s, d, _, _, _, x in rows:
-        low = " ".join(_NUMBER.sub("0", x.lower()).split())
-        lows.append(low)
-        by_site[s, low].add(d)
-        by_line[low].add(d)
-    labels = [weak_label(x, low, n, len(by_site[s, low]), len(by_line[low])) for (s, _, _, _, n, x), low in zip(rows, lows)]
+    rows, line_keys = [], []
+    for d, s, t, paras, keyed in zip(*(picked[c] for c in ("doc_id", "site", "title", "paragraphs", "keys"))):
+        if paras is not None:
+            for (p, para), ks in zip([(p, para) for p, para in enumerate(paras) if para is not None], keyed):
+                found = [(x, k) for x, k in zip(para, ks) if x]
+                rows += [(s, d, t, p, len(para), x) for x, _ in found]
+                line_keys += [int(k) for _, k in found]
+    places = [(k, r[0] or "") for r, k in zip(rows, line_keys)]
+    asked = pd.DataFrame([*{*places, *((k, "*") for k in line_keys)}], columns=["key", "site"])
+    n = document_counts(told, asked) if rows else {}
+    lows = [" ".join(_NUMBER.sub("0", r[-1].lower()).split()) for r in rows]
+    labels = [weak_label(r[-1], low, r[4], n[at], n[at[0], "*"]) for r, low, at in zip(rows, lows, places)]
     out = pd.DataFrame(rows, columns=["site", "doc_id", "title", "para_no", "around", "sent"])
     out["label"] = [-1 if x is None else x for x in labels]
     return out

@@ -288,6 +288,23 @@ def test_residue(spark, news):
     assert junk.residue_documents(docs(spark, [])).count() == 0
 
 
+def test_repetition_is_counted_beyond_the_sample(spark):
+    seen = {r[0] for r in common.hashed_sample(spark.range(1000).toDF("doc_id"), "doc_id", 100).collect()}
+    inside, outside = sorted(seen), [i for i in range(1000) if i not in seen]
+    notice, shared, own = "The editors of this paper wish all readers a pleasant day.", "The agency sent this same report to all of its papers.", "The council of Mirlin opened the new bridge after the war."
+    lines = {inside[0]: [notice, own], inside[1]: [shared, own + " x."]} | {i: ["  " + notice.upper(), "x"] for i in outside[:2]} | {i: [shared, "y"] for i in outside[2:4]}
+    shell = ["Lorem ipsum dolor sit amet, consectetur adipiscing elit."]
+    host = {inside[0]: "a", outside[0]: "a", outside[1]: "a"} | {outside[6]: "b", outside[7]: "c"}
+    title = {inside[2]: "Odd shell", outside[6]: "Odd shell - B", outside[7]: "Odd shell"}
+    rows = [(i, f"example,{host.get(i, f's{i}')})/{i}", title.get(i, "T"), "en", "", [lines.get(i, shell if i in title else [f"n{i}"]), None]) for i in range(1000)]
+    sample = line_model.sample_lines(docs(spark, rows), 100)
+    assert set(sample["doc_id"]) == seen
+    label = dict(zip(sample["sent"], sample["label"]))
+    assert (label[notice], label[shared], label[own]) == (line_model.FURNITURE, -1, line_model.PROSE)
+    model = line_model.LinearModel(np.zeros((line_model.SLOTS, 6), np.float32), np.array([0, 0, 1, 0, 0, 0], np.float32))
+    assert junk.title_hosts(docs(spark, rows), {"Odd shell"}, model) == {"Odd shell": 3}
+
+
 def test_line_model_holds_on_unseen_hosts(spark, news):
     table = junk.validate_on_unseen_hosts(docs(spark, news)).set_index("line_class")
     for c in ("prose", "furniture", "filler", "error"):
