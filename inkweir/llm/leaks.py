@@ -28,6 +28,8 @@ MAX_VOCABULARY = 2_000_000
 MAX_CANDIDATES = 1_000_000
 #: Rarest terms of a run whose position lists are intersected.
 TERMS = 2
+#: The same for proximity matches, which no exact comparison follows.
+NEAR_TERMS = 3
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -136,13 +138,13 @@ def near_items(documents: DataFrame, items: DataFrame, run: int = 12, slop: int
     run of an item all stand within ``slop`` words of where they should. Edge cases as in
     ``leaked_items``, which finds the exact phrases among these."""
     terms = cut(item_terms(items))
-    runs = cut(rarest_terms(terms, document_frequency(documents, terms), run))
+    runs = cut(rarest_terms(terms, document_frequency(documents, terms), run, NEAR_TERMS))
     band = 2 * slop + 1
     hits = _hits(documents, runs)
     # a band and its half-shifted neighbour: hits within `slop` of each other share one of them
     banded = hits.withColumn("band", F.explode(F.array(F.floor(F.col("shift") / band) * 2, F.floor((F.col("shift") + slop) / band) * 2 + 1)))
     found = banded.groupBy("doc_id", "item_id", "band").agg(F.collect_set("at").alias("at"))
     needed = runs.groupBy("item_id").agg(F.collect_set("keys.pos").alias("needed"))
-    met = found.where(F.size("at") >= F.lit(min(TERMS, run))).join(needed, "item_id")
+    met = found.where(F.size("at") >= F.lit(min(NEAR_TERMS, run))).join(needed, "item_id")
     met = met.where(F.exists("needed", lambda keys: F.size(F.array_except(keys, F.col("at"))) == 0))
     return met.groupBy("doc_id", "item_id").agg(F.max(F.size("at")).alias("n_terms"))

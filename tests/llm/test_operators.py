@@ -219,6 +219,14 @@ def test_leaks_equal_brute_force(spark):
     assert leaks.leaked_items(documents, asked.where("false")).count() == 0
 
 
+def test_near_items_need_three_terms(spark):
+    words = [f"x{k}" for k in range(12)]
+    common = [(k, f"x{k}") for k in range(3, 12)] + [(20 + k, f"x{k}") for k in range(3, 12)]
+    documents = spark.createDataFrame([*common, (100, "x0 x1 and nothing else"), (101, "x0 x1 so x2 x4")], "doc_id bigint, text string")
+    near = leaks.near_items(documents, spark.createDataFrame([(7, " ".join(words))], "item_id bigint, text string"), 12)
+    assert [tuple(r) for r in near.collect()] == [(101, 7, 3)]
+
+
 def test_leaks_without_sending_the_vocabulary(spark, monkeypatch):
     monkeypatch.setattr(leaks, "MAX_VOCABULARY", 1)
     monkeypatch.setattr(leaks, "MAX_CANDIDATES", 0)
