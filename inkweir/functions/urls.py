@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 ARCHIVE_PREFIX, ARCHIVE_LENGTH = "https://web.archive.org/web", 43
 
 # Hosts and file extensions that can't be scraped for text.
-BLOCKED_HOSTS = ["youtube.com", "books.google.com", "twitter.com"]
-BLOCKED_EXTENSIONS = [".pdf", ".jpg", ".jpeg", ".png", ".gif", ".mp3", ".mp4", ".avi", ".mov", ".doc", ".xls", ".ppt"]
+BLOCKED_HOSTS = ["books.google.com", "books.google.co.in", "youtube.com"]
+BLOCKED_EXTENSIONS = [".pdf", ".jpeg", ".jpg", ".png", ".mp3", ".mp4", ".doc", ".docx", ".ppt", ".pptx", ".xls", ".xlsx"]
 
 
 def unwrap_archive(url: Column) -> Column:

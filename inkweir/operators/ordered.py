@@ -22,7 +22,8 @@ def prefix_sums(df: DataFrame, order: list[str], partitions: int | None = None,
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order]
     valued = df.select("*", *(F.coalesce(v, F.lit(0)).alias(f"_v_{k}") for k, v in sums.items()))
-    ranged = cut(valued.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id()))
+    # materialised first, as the sample for the ranges would run the plan behind it a second time
+    ranged = cut(cut(valued).repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id()))
     totals = sorted(ranged.groupBy("_part").agg(*(F.sum(f"_v_{k}").alias(k) for k in sums)).collect(), key=lambda r: r["_part"])
     rows, so_far = [], dict.fromkeys(sums, 0)
     for r in totals:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from inkweir.operators.ordered import prefix_sums
+from inkweir.session import cut
 
 FEATURES = ["f_document", "f_sentence", "f_relevance", "f_views"]
 
@@ -64,8 +65,9 @@ def pr_curve(scored: DataFrame) -> DataFrame:
     """scored(score, label) to (threshold, precision, recall, f1) at each different score, equal scores
     together. f1 is null where precision and recall are 0, all is empty without a row."""
     per = scored.where("score is not null").groupBy("score").agg(F.sum("label").cast("bigint").alias("pos"), F.count("*").alias("n"))
-    run = prefix_sums(per, ["score"], descending=True, tp=F.col("pos"), seen=F.col("n"))
-    total = per.agg(F.sum("pos").alias("all_pos"))
+    # materialised: the total is read from the running sums, not from the scores once more
+    run = cut(prefix_sums(per, ["score"], descending=True, tp=F.col("pos"), seen=F.col("n")))
+    total = run.agg(F.sum("pos").alias("all_pos"))
     curve = run.crossJoin(F.broadcast(total))
     precision, recall = F.col("tp") / F.col("seen"), F.try_divide(F.col("tp"), F.col("all_pos"))
     return curve.select(F.col("score").alias("threshold"), precision.alias("precision"), recall.alias("recall"), F.try_divide(2 * precision * recall, precision + recall).alias("f1"), "tp", "seen", "pos", "all_pos")

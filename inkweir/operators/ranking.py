@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from inkweir.functions.text import words
+from inkweir.operators.ordered import prefix_sums
+from inkweir.session import cut
 
 
 def document_frequency(corpus: DataFrame) -> DataFrame:
@@ -30,14 +32,16 @@ def bm25(pairs: DataFrame, documents: DataFrame, frequency: DataFrame, stats: Da
 
     The score sums over the distinct query words; idf is ``ln((N + df + 0.5) / (df + 0.5))``, which
     stays positive for words that are everywhere. Words that a document lacks add nothing, so only
-    words of the query are counted, inside the row of the pair: the documents' words never shuffle.
+    words of the query are counted, inside the row of the pair, and go on as counts. Only texts that a
+    pair asks for are shuffled, once.
     Pairs without a common word score 0; null texts and queries likewise; unknown documents are left out.
     """
-    told = pairs.select("query_id", "doc_id", F.array_distinct(F.coalesce(words(F.col("query")), F.array().cast("array<string>"))).alias("asked"))
-    texts = documents.select("doc_id", F.coalesce(words(F.col("text")), F.array().cast("array<string>")).alias("has"))
-    joined = told.join(texts, "doc_id")
-    hits = joined.select("query_id", "doc_id", F.size("has").alias("dl"), F.explode_outer(F.filter("asked", lambda w: F.array_contains("has", w))).alias("word"), "has")
-    hits = hits.select("query_id", "doc_id", "dl", "word", F.when(F.col("word").isNotNull(), F.size(F.filter("has", lambda w: w == F.col("word")))).alias("tf"))
+    none = F.array().cast("array<string>")
+    told = pairs.select("query_id", "doc_id", F.array_distinct(F.coalesce(words(F.col("query")), none)).alias("asked"))
+    texts = documents.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", F.coalesce(words(F.col("text")), none).alias("has"))
+    joined = told.join(texts, "doc_id").withColumn("found", F.filter("has", lambda w: F.array_contains("asked", w)))
+    counts = F.transform(F.array_distinct("found"), lambda w: F.struct(w.alias("word"), F.size(F.filter("found", lambda x: x == w)).alias("tf")))
+    hits = joined.select("query_id", "doc_id", F.size("has").alias("dl"), F.explode_outer(counts).alias("h")).select("query_id", "doc_id", "dl", "h.*")
     known = hits.join(frequency, "word", "left").crossJoin(F.broadcast(stats.limit(1)))
     idf = F.log((F.col("n_documents") + F.coalesce("df", F.lit(0)) + 0.5) / (F.coalesce("df", F.lit(0)) + 0.5))
     weight = F.col("tf") * (k + 1) / (F.col("tf") + k * (1 - b + b * F.col("dl") / F.col("avg_length")))
@@ -45,8 +49,23 @@ def bm25(pairs: DataFrame, documents: DataFrame, frequency: DataFrame, stats: Da
 
 
 def score_cuts(scores: DataFrame, column: str = "score", steps: int = 10) -> DataFrame:
-    """One row (low, high, cuts): least and greatest score and the exact interpolated quantiles between."""
-    return scores.agg(F.min(column).alias("low"), F.max(column).alias("high"), F.percentile(column, F.array(*(F.lit(i / steps) for i in range(1, steps)))).alias("cuts"))
+    """One row (low, high, cuts): least and greatest score and the exact interpolated quantiles between.
+
+    Different scores are counted, their running counts taken in global order without an ordered task, and
+    the two scores around each quantile's place picked out. Null scores don't count; without any the row
+    is of nulls.
+    """
+    counted = scores.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("score")).agg(F.count("*").alias("n"))
+    run = cut(prefix_sums(counted, ["score"], upto=F.col("n")))
+    bounds = run.agg(F.min("score").alias("low"), F.max("score").alias("high"), F.max("upto").alias("total"))
+    places = F.array(*(F.struct(F.lit(i).alias("i"), ((F.col("total") - 1) * F.lit(i) / F.lit(steps)).alias("place")) for i in range(1, steps)))
+    asked = F.broadcast(bounds.select("low", "high", F.explode(places).alias("p")).select("low", "high", "p.*"))
+    held = lambda place: (place >= F.col("upto") - F.col("n")) & (place < F.col("upto"))
+    near = run.join(asked, held(F.floor("place")) | held(F.ceil("place")))
+    part = F.col("place") - F.floor("place")
+    valued = near.groupBy("low", "high", "i").agg((F.max(F.when(held(F.floor("place")), F.col("score"))) * (1 - F.max(part)) + F.max(F.when(held(F.ceil("place")), F.col("score"))) * F.max(part)).alias("cut"))
+    found = valued.groupBy("low", "high").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "cut"))), lambda x: x["cut"]).alias("cuts"))
+    return bounds.select("low", "high").join(found.select("cuts"), F.lit(True), "left")
 
 
 def bucket(scores: DataFrame, cuts: DataFrame, column: str = "score") -> DataFrame:

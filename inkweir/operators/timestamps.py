@@ -10,7 +10,7 @@ interval means a nonexistent (skipped) one, one plain match gives the offset dir
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
 import pandas as pd
@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from inkweir.functions.dates import date_reading
 
-FIRST_YEAR, LAST_YEAR = 1900, 2100
+#: Zones began in 1847; before, every zone has the mean time of its place. After LAST_YEAR a reading takes the
+#: offset of the year in the last 28 that has the same calendar, as zone rules go by month and weekday.
+FIRST_YEAR, LAST_YEAR = 1840, 2099
 #: Seconds between two looks at a zone's offset; changes that are undone sooner would be missed, and no zone has such.
 STEP = 4 * 86400
 _NUMERIC_ORDER = r"(?<![\d./:-])(\d{1,2})([-/.])(\d{1,2})\2(?:\d{4}|\d{2})(?!\d)"
@@ -50,12 +52,27 @@ def _zone_intervals(name: str) -> list[tuple[int, int, int, str]]:
     return [*out, (start, end, *now)]
 
 
+def _same_calendar(year: int) -> int:
+    """The year of LAST_YEAR - 27 to LAST_YEAR whose days fall on the same weekdays."""
+    shape = lambda y: (date(y, 1, 1).weekday(), date(y, 12, 31).weekday())
+    return next(y for y in range(LAST_YEAR - 27, LAST_YEAR + 1) if shape(y) == shape(year))
+
+
+def _known_year(year: Column) -> tuple[Column, Column]:
+    """(zone_year, days): the year whose zone rules hold, and how many days it is earlier. Calendars
+    repeat every 400 years."""
+    alike = F.element_at(F.array(*(F.lit(_same_calendar(2000 + k)) for k in range(400))), F.pmod(year, F.lit(400)) + 1)
+    known = F.when(year > LAST_YEAR, alike).otherwise(F.greatest(year, F.lit(FIRST_YEAR)))
+    start = lambda y: F.unix_date(F.make_date(y, F.lit(1), F.lit(1)))
+    return known, F.when(year > LAST_YEAR, start(year) - start(known)).otherwise(0)
+
+
 def zone_intervals(zones: DataFrame) -> DataFrame:
     """zones(zone) to one row per (zone, local year): ``spans``, an array of
     (local_start, local_end, gap_end, offset) sorted by time, ``abbreviations``, a map to the offset
     that an abbreviation had last by the end of that year, else the first it has later.
 
-    Size bound: known zones (about 600) x years (201). Unknown and null zone names give no rows.
+    Size bound: known zones (about 600) x years (260). Unknown and null zone names give no rows.
     """
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -69,7 +86,9 @@ def zone_intervals(zones: DataFrame) -> DataFrame:
                 for k, (start, end, off, _) in enumerate(spans):
                     local_start, local_end = start + off, end + off
                     gap_end = max(local_end, spans[k + 1][0] + spans[k + 1][2]) if k + 1 < len(spans) else local_end
-                    first, last = (max(FIRST_YEAR, min(LAST_YEAR, (datetime(1970, 1, 1) + timedelta(seconds=t)).year)) for t in (local_start, gap_end))
+                    if not k:  # in force ever before
+                        local_start = -(1 << 60)
+                    first, last = (max(FIRST_YEAR, min(LAST_YEAR, (datetime(1970, 1, 1) + timedelta(seconds=max(t, starts[0]))).year)) for t in (local_start, gap_end))
                     for year in range(first, last + 1):
                         rows.setdefault(year, []).append({"local_start": local_start, "local_end": local_end, "gap_end": gap_end, "offset": off})
                 known: dict[str, int] = {}
@@ -129,10 +148,11 @@ def normalise_timestamps(dated: DataFrame, sites: DataFrame) -> DataFrame:
     day_is_first = F.coalesce("day_is_first", ~F.coalesce(F.col("zone").startswith("America/"), F.lit(False)))
     placed = placed.withColumn("day", F.when(day_is_first, F.col("day_first")).otherwise(F.col("month_first"))).where("prec in ('Y', 'M') or day is not null")
     local = F.col("day").cast("bigint") * 86400 + F.col("secs")
-    placed = placed.withColumn("local", local).withColumn("zone_year", F.least(F.greatest(F.year(F.date_from_unix_date("day")), F.lit(FIRST_YEAR)), F.lit(LAST_YEAR)))
+    zone_year, days = _known_year(F.year(F.date_from_unix_date("day")))
+    placed = placed.withColumn("local", local).withColumn("zone_year", zone_year).withColumn("zone_local", F.col("local") - days.cast("bigint") * 86400)
     spans = zone_intervals(zones)
     joined = placed.join(spans, ["zone", "zone_year"], "left")
-    hits = F.filter("spans", lambda s: (F.col("local") >= s["local_start"]) & (F.col("local") < s["gap_end"]))
+    hits = F.filter("spans", lambda s: (F.col("zone_local") >= s["local_start"]) & (F.col("zone_local") < s["gap_end"]))
     joined = joined.withColumn("hits", hits).withColumn("named", F.try_element_at("abbreviations", F.col("abbr")))
     first_hit = F.get("hits", F.lit(0))
     offset = F.coalesce("off", "named", first_hit["offset"], F.lit(0))
@@ -140,7 +160,7 @@ def normalise_timestamps(dated: DataFrame, sites: DataFrame) -> DataFrame:
         F.when(F.col("prec") == "Y", "year").when(F.col("prec") == "M", "month").when(F.col("prec") == "D", "day")
         .when(F.coalesce("off", "named").isNotNull(), "given")
         .when(F.size("hits") > 1, "ambiguous")
-        .when(F.col("local") >= first_hit["local_end"], "nonexistent")
+        .when(F.col("zone_local") >= first_hit["local_end"], "nonexistent")
         .when(first_hit.isNotNull(), "direct")
         .otherwise("unzoned")
     )

@@ -24,7 +24,7 @@ _STATS = "st AS (SELECT count(*) AS n_documents, sum(len(regexp_extract_all(lowe
 _LATEST = f"latest AS (SELECT {_TIDY.format('canonical_url')} AS k, arg_max(doc_id, (ingested_at, doc_id)) AS doc_id FROM documents WHERE canonical_url IS NOT NULL AND len(paragraphs) > 0 GROUP BY 1)"
 _CITED = (
     f"c0 AS (SELECT inst_no, page_id, split_name, unnest(documents) AS x, unnest(range(len(documents))) AS doc_index FROM instances WHERE len(documents) > 0), "
-    f"cited AS (SELECT inst_no, page_id, split_name, CAST(doc_index AS INT) AS doc_index, {_TIDY.format('x.canonical_url')} AS k FROM c0 WHERE x.canonical_url IS NOT NULL)"
+    f"cited AS (SELECT inst_no, page_id, split_name, CAST(doc_index AS INT) AS doc_index, {_TIDY.format('coalesce(x.canonical_url, x.url)')} AS k FROM c0 WHERE coalesce(x.canonical_url, x.url) IS NOT NULL)"
 )
 _BM25 = (
     f"WITH {_TOK}, {_STATS}, {_LATEST}, {_CITED}, "
@@ -48,8 +48,10 @@ def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Citations of documents by the tidy key of their canonical URL, or of their URL where there is none."""
     each = table(spark, sf_dir, "instances").select("inst_no", "page_id", "split_name", F.posexplode("documents").alias("doc_index", "x"))
-    return each.where("x.canonical_url is not null").select("inst_no", "page_id", "split_name", "doc_index", urls.tidy_key(F.col("x.canonical_url")).alias("k"))
+    key = F.coalesce("x.canonical_url", "x.url")
+    return each.where(key.isNotNull()).select("inst_no", "page_id", "split_name", "doc_index", urls.tidy_key(key).alias("k"))
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,8 +225,8 @@ def label_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.query(
     "url_unwrap_scrapable",
     sql=r"""WITH u AS (SELECT ref_no, CASE WHEN starts_with(url, 'https://web.archive.org/web') THEN url[44:] ELSE url END AS url FROM refs)
-    SELECT ref_no, url, coalesce(regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1), '^www\.', '') NOT IN ('', 'youtube.com', 'books.google.com', 'twitter.com')
-    AND regexp_extract(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '(\.[^./]*)$', 1) NOT IN ('.pdf', '.jpg', '.jpeg', '.png', '.gif', '.mp3', '.mp4', '.avi', '.mov', '.doc', '.xls', '.ppt'), false) AS scrapable FROM u""",
+    SELECT ref_no, url, coalesce(regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1), '^www\.', '') NOT IN ('', 'books.google.com', 'books.google.co.in', 'youtube.com')
+    AND regexp_extract(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '(\.[^./]*)$', 1) NOT IN ('.pdf', '.jpeg', '.jpg', '.png', '.mp3', '.mp4', '.doc', '.docx', '.ppt', '.pptx', '.xls', '.xlsx'), false) AS scrapable FROM u""",
 )
 def url_unwrap_scrapable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """References' URLs without archive wrappers, and whether they can be scraped."""
@@ -278,13 +280,13 @@ def chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registry.query(
     "byte_ranges",
-    sql="SELECT html_id, 'bytes=' || (e - n) || '-' || (e - 1) AS byte_range FROM (SELECT html_id, length(html) AS n, CAST(sum(length(html)) OVER (ORDER BY html_id) AS BIGINT) AS e FROM ref_html)",
+    sql="SELECT html_id, 'bytes=' || (e - n) || '-' || (e - 1) AS byte_range FROM (SELECT html_id, strlen(html) AS n, CAST(sum(strlen(html)) OVER (ORDER BY html_id) AS BIGINT) AS e FROM ref_html)",
 )
 def byte_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The range of each page in a file of all pages."""
+    """The range of each page, in bytes, in a file of all pages."""
     from inkweir.operators.ordered import prefix_sums
 
-    sized = table(spark, sf_dir, "ref_html").select("html_id", F.length("html").cast("bigint").alias("n"))
+    sized = table(spark, sf_dir, "ref_html").select("html_id", F.octet_length("html").cast("bigint").alias("n"))
     return prefix_sums(sized, ["html_id"], upto=F.col("n")).select("html_id", urls.byte_range(F.col("upto") - F.col("n"), F.col("n")).alias("byte_range"))
 
 
