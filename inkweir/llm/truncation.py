@@ -83,21 +83,19 @@ def corpus_counts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Both come from one reading of the texts and one shuffle; counts are combined before it.
     """
-    each = documents.select(F.explode(F.transform(_blocks(F.col("text")), lambda b, i: F.struct(b.alias("block"), i.alias("no")))).alias("b"), F.size(_blocks(F.col("text"))).alias("n"))
-    blocks = each.select(F.col("b.block").alias("block"), (F.col("b.no") == F.col("n") - 1).alias("last"), _tokens(F.col("b.block")).alias("tokens"))
-    size = F.size("tokens")
-
-    def one(i: Column) -> Column:
-        three, two = _contexts(F.col("tokens"), i)
-        token = F.get("tokens", i)
-        ends = F.endswith(token, F.lit(".")) | F.endswith(token, F.lit("?")) | F.endswith(token, F.lit("!")) | (i == size - 1)
-        return F.struct(three.alias("three"), two.alias("two"), _bare(token).alias("word"), ends.alias("ends"))
-
-    head_three, head_two = _heads(F.col("tokens"))
-    kind = F.struct(head_three.alias("three"), head_two.alias("two"), F.lit(None).cast("string").alias("word"), F.col("block").rlike(_ENDS).alias("ends"))
-    upto = size - F.when(F.col("last"), 2).otherwise(1)
-    grams = F.when(upto >= 0, F.transform(F.sequence(F.lit(0), upto), one)).otherwise(F.array().cast("array<struct<three:bigint,two:bigint,word:string,ends:boolean>>"))
-    rows = blocks.where(size > 0).select(F.explode(F.when(F.col("last"), grams).otherwise(F.concat(grams, F.array(kind)))).alias("g")).select("g.*")
+    blocks = documents.select(_blocks(F.col("text")).alias("blocks"))
+    each = blocks.select(F.explode(F.transform("blocks", lambda b, i: F.struct(b.alias("block"), (i == F.size("blocks") - 1).alias("last")))).alias("b"))
+    tokens = each.select("b.last", F.col("b.block").rlike(_ENDS).alias("full"), _tokens(F.col("b.block")).alias("tokens"))
+    # each token beside the two before and the one behind it; expressions on these stay in generated code
+    start = lambda k: F.concat(F.array(*[F.lit("<s>")] * k), "tokens")
+    behind = F.slice("tokens", F.lit(2), F.greatest(F.size("tokens") - 1, F.lit(0)))
+    placed = tokens.select("last", "full", F.explode(F.arrays_zip(start(2).alias("a"), start(1).alias("b"), F.col("tokens").alias("word"), behind.alias("behind"), F.slice("tokens", 2, 1).alias("second"))).alias("t")).select("last", "full", "t.*").where("word is not null")
+    first = (F.col("a") == "<s>") & (F.col("b") == "<s>")
+    ends = F.col("behind").isNull() | F.right("word", F.lit(1)).isin(".", "?", "!")
+    gram = F.when(F.col("behind").isNotNull() | ~F.col("last"), F.struct(F.xxhash64("a", "b").alias("three"), F.xxhash64("b").alias("two"), _bare(F.col("word")).alias("word"), ends.alias("ends")))
+    head_three, head_two = _heads(F.array(F.col("word"), F.col("second")))
+    kind = F.when(first & ~F.col("last"), F.struct(head_three.alias("three"), head_two.alias("two"), F.lit(None).cast("string").alias("word"), F.col("full").alias("ends")))
+    rows = placed.select(F.explode(F.array_compact(F.array(gram, kind))).alias("g")).select("g.*")
     counted = stored(rows.groupBy("three", "two", "word").agg(F.count_if(~F.col("ends")).alias("goes_on"), F.count_if("ends").alias("ends")))
     return counted.where("word is not null"), counted.where("word is null").drop("word")
 
