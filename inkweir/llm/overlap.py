@@ -3,11 +3,14 @@
 Every distinct text is cut into windows of rolling hashes over its words; of each window the minimum
 is kept, in the order of how rare a hash is in the corpus (any fixed order keeps winnowing's promise
 that a common run of ``gram + window - 1`` words shares a fingerprint; the rare ones keep the join
-small). Fingerprints of evaluation texts are joined with those of training texts. A row carries the
-text's number of words and a 128-bit signature of them, whose differing bits bound the similarity
-from above without an error, so that the join itself drops nearly every pair that cannot qualify. For
-the rest the shared seeds are chained collinearly, the chain is extended by alignment to the coverage
-of both texts, and the similarity of the word sets is computed exactly.
+small). As a similarity of word sets asks for no common run, the rolling hashes of single words give
+minima too: of n distinct words the n - ceil(least n) + 1 rarest, of which two texts of that similarity
+share one whatever their order. Fingerprints of evaluation texts are joined with those of training
+texts, frequent ones in parts. A row carries the text's number of words and a 128-bit signature of them,
+whose differing bits bound the similarity from above without an error, so that the join itself drops
+nearly every pair that cannot qualify. The similarity of the rest is computed exactly. For those that are
+linked the shared seeds are chained collinearly, and the chain is extended by alignment to the coverage
+of both texts, which is reported per record and source.
 
 Copies are collapsed before: a text with a third of all rows is one row in the join.
 """
@@ -17,7 +20,6 @@ from __future__ import annotations
 import math
 from bisect import bisect_left
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
@@ -26,15 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkweir.llm.common import spaced_words, word_hash
-from inkweir.session import cut
+from inkweir.session import stored
 
 GRAM, WINDOW = 3, 3
 #: Size of the table of hash counts that orders the fingerprints: fixed, whatever the corpus.
 COUNTERS = 1 << 18
-#: Texts of at most so many distinct words also give their rarest single words as fingerprints.
-SHORT = 12
-#: Product of the lengths of two gaps from which a diff stands in for the full table.
-LONG_GAP = 4_000_000
+#: A fingerprint this many times as frequent as the mean is joined in parts, at most so many.
+HOT, MOST_PARTS = 50, 64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -75,8 +75,11 @@ def gram_counts(reps: DataFrame, gram: int = GRAM) -> np.ndarray:
     return np.minimum(counts, 2**31 - 1).astype(np.int32)
 
 
-def fingerprints(reps: DataFrame, counts: np.ndarray, least: float, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
-    """reps(rep, words, in_train, in_eval) to its fingerprints (seed, pos, rep, in_train, in_eval, n, sig_a, sig_b)."""
+def fingerprints(reps: DataFrame, counts: np.ndarray, least: float, train: bool, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+    """reps(rep, words) to fingerprints (seed, part, pos, rep, n, sig_a, sig_b); pos is -1 for single
+    words. A frequent seed has several parts: a training text has it in one of them, by its number, an
+    evaluation text in all."""
+    hot = max(1000, int(HOT * counts.sum(dtype=np.int64) / COUNTERS))
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
@@ -98,24 +101,29 @@ def fingerprints(reps: DataFrame, counts: np.ndarray, least: float, gram: int =
                 views = np.lib.stride_tricks.sliding_window_view(rank, width)
                 chosen = order[np.unique(views.min(axis=1))]
                 chosen = chosen[np.unique(grams[chosen], return_index=True)[1]]
-                seed, place = grams[chosen], chosen
-                if len(single) <= SHORT:
-                    common = counts[(single % np.uint64(COUNTERS)).astype(np.int64)]
-                    rare = single[np.lexsort((single, common))][: len(single) - math.ceil(least * len(single) - 1e-9) + 1]
-                    seed, place = np.concatenate([seed, rare]), np.concatenate([place, np.full(len(rare), -1)])
-                seeds.append(seed.view(np.int64))
-                places.append(place)
-                lengths.append(len(seed))
+                common = counts[(single % np.uint64(COUNTERS)).astype(np.int64)]
+                rare = single[np.lexsort((single, common))][: len(single) - math.ceil(least * len(single) - 1e-9) + 1]
+                seeds.append(np.concatenate([grams[chosen], rare]))
+                places.append(np.concatenate([chosen, np.full(len(rare), -1)]))
+                lengths.append(len(seeds[-1]))
                 ns.append(len(single))
                 a.append((bits & (2**64 - 1)) - (2**64 if bits >> 63 & 1 else 0))
                 b.append((bits >> 64) - (2**64 if bits >> 127 & 1 else 0))
             if len(known) > 2_000_000:
                 known.clear()
             if lengths:
+                flat = np.concatenate(seeds)
+                parts = np.minimum(1 + counts[(flat % np.uint64(COUNTERS)).astype(np.int64)] // hot, MOST_PARTS)
                 rep = lambda column: np.repeat(np.asarray(column), lengths)
-                yield pd.DataFrame({"seed": np.concatenate(seeds), "pos": np.concatenate(places).astype(np.int32), "rep": rep(batch["rep"]), "in_train": rep(batch["in_train"]), "in_eval": rep(batch["in_eval"]), "n": rep(ns).astype(np.int32), "sig_a": rep(np.array(a, dtype=np.int64)), "sig_b": rep(np.array(b, dtype=np.int64))})
+                out = pd.DataFrame({"seed": flat.view(np.int64), "part": 0, "pos": np.concatenate(places).astype(np.int32), "rep": rep(batch["rep"]), "n": rep(ns).astype(np.int32), "sig_a": rep(np.array(a, dtype=np.int64)), "sig_b": rep(np.array(b, dtype=np.int64))})
+                if train:
+                    out["part"] = out["rep"] % parts
+                elif (parts > 1).any():
+                    out = out.loc[out.index.repeat(parts)]
+                    out["part"] = out.groupby(level=0).cumcount()
+                yield out
 
-    return reps.select("rep", "words", "in_train", "in_eval").mapInPandas(pick, "seed bigint, pos int, rep bigint, in_train boolean, in_eval boolean, n int, sig_a bigint, sig_b bigint")
+    return reps.select("rep", "words").mapInPandas(pick, "seed bigint, part int, pos int, rep bigint, n int, sig_a bigint, sig_b bigint")
 
 
 def chain(places_a: list[int], places_b: list[int]) -> list[tuple[int, int]]:
@@ -140,16 +148,17 @@ def chain(places_a: list[int], places_b: list[int]) -> list[tuple[int, int]]:
 
 
 def _common(x: list[str], y: list[str]) -> int:
-    """Length of a common subsequence of two gaps: the longest, or for very long gaps that of the blocks
-    that a diff finds."""
-    if len(x) * len(y) > LONG_GAP:
-        return sum(m.size for m in SequenceMatcher(None, x, y).get_matching_blocks())
-    row = [0] * (len(y) + 1)
+    """Length of the longest common subsequence, a column of the table in one integer's bits at a time."""
+    at: dict[str, int] = {}
+    for j, v in enumerate(y):
+        at[v] = at.get(v, 0) | 1 << j
+    every = (1 << len(y)) - 1
+    column = every
     for u in x:
-        last = 0
-        for j, v in enumerate(y):
-            last, row[j + 1] = row[j + 1], last + 1 if u == v else max(row[j + 1], row[j])
-    return row[-1]
+        met = column & at.get(u, 0)
+        if met:
+            column = ((column + met) | (column - met)) & every
+    return len(y) - column.bit_count()
 
 
 def aligned(a: list[str], b: list[str], seeds: list[tuple[int, int]]) -> int:
@@ -179,11 +188,16 @@ def _bits_only_in(x: str, y: str) -> Column:
     return one("sig_a") + one("sig_b")
 
 
+def _keys(words: Column) -> list[Column]:
+    """128 bits by which a text is found again."""
+    return [F.xxhash64(words).alias("key_a"), F.xxhash64(F.lit("b"), words).alias("key_b")]
+
+
 def cross_split_overlaps(records: DataFrame, least: float = 0.7, gram: int = GRAM, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """records(rec_id, split_name, text) to
 
-    - classes(rec_id, split_name, rep): the class of each record with words, named by its smallest
-      rec_id; members of a class have the same words in the same order;
+    - classes(rec_id, split_name, rep, n_words): the class of each record with words, named by its
+      smallest rec_id; members of a class have the same words in the same order;
     - links(rep_eval, rep_train, similarity, matched, n_seeds): pairs of classes, a training one and
       one of another split, whose distinct words have a Jaccard similarity of at least ``least``;
       matched is the number of aligned words. A class in both splits is linked with itself.
@@ -194,12 +208,12 @@ def cross_split_overlaps(records: DataFrame, least: float = 0.7, gram: int = GRA
     told = records.select("rec_id", "split_name", "text").where("rec_id is not null and split_name is not null and text is not null")
     worded = told.select("rec_id", "split_name", spaced_words("text").alias("words")).where("words <> ''")
     train = F.col("split_name") == "train"
-    reps = cut(worded.groupBy("words").agg(F.min("rec_id").alias("rep"), F.bool_or(train).alias("in_train"), F.bool_or(~train).alias("in_eval")))
+    reps = stored(worded.groupBy("words").agg(F.min("rec_id").alias("rep"), F.bool_or(train).alias("in_train"), F.bool_or(~train).alias("in_eval")))
     counts = gram_counts(reps, gram)
-    prints = cut(fingerprints(reps, counts, least, gram, window))
     kept = lambda x, y: F.col(f"{x}.n") - _bits_only_in(x, y)  # noqa: E731 - at most so many words of x are in y
     possible = F.least(kept("e", "t"), kept("t", "e")) >= F.lit(least - 1e-9) * (F.col("e.n") + F.col("t.n")) / F.lit(1 + least)
-    met = prints.where("in_eval").alias("e").join(prints.where("in_train").alias("t"), (F.col("e.seed") == F.col("t.seed")) & (F.col("e.rep") != F.col("t.rep")) & possible)
+    of = lambda side: fingerprints(reps.where(f"in_{side}"), counts, least, side == "train", gram, window)
+    met = of("eval").alias("e").join(of("train").alias("t"), (F.col("e.seed") == F.col("t.seed")) & (F.col("e.part") == F.col("t.part")) & (F.col("e.rep") != F.col("t.rep")) & possible)
     seeded = met.groupBy(F.col("e.rep").alias("rep_eval"), F.col("t.rep").alias("rep_train")).agg(F.collect_list(F.struct(F.col("e.pos").alias("p"), F.col("t.pos").alias("q"))).alias("seeds"))
     words = reps.select("rep", "words")
     both = seeded.join(words.toDF("rep_eval", "words_eval"), "rep_eval").join(words.toDF("rep_train", "words_train"), "rep_train")
@@ -208,15 +222,28 @@ def cross_split_overlaps(records: DataFrame, least: float = 0.7, gram: int = GRA
     both = both.where(F.col("shared") >= F.lit(least - 1e-9) * F.col("either"))
     linked = both.select("rep_eval", "rep_train", (F.col("shared") / F.col("either")).alias("similarity"), _alignment("words_eval", "words_train", F.col("seeds.p"), F.col("seeds.q")).alias("matched"), F.size("seeds").alias("n_seeds"))
     same = reps.where("in_train and in_eval").select(F.col("rep").alias("rep_eval"), F.col("rep").alias("rep_train"), F.lit(1.0).alias("similarity"), F.size(F.split("words", " ")).alias("matched"), F.lit(0).alias("n_seeds"))
-    classes = worded.join(reps.select("words", "rep"), "words").select("rec_id", "split_name", "rep")
+    named = reps.select(*_keys(F.col("words")), "rep", F.size(F.split("words", " ")).alias("n_words"))
+    classes = worded.select("rec_id", "split_name", *_keys(F.col("words"))).distinct().join(named, ["key_a", "key_b"]).select("rec_id", "split_name", "rep", "n_words")
     return classes, linked.unionByName(same)
 
 
 def overlapping_pairs(records: DataFrame, least: float = 0.7) -> DataFrame:
-    """The pairs (rec_id_a < rec_id_b) of records behind the links of ``cross_split_overlaps``."""
+    """The pairs (rec_id_a < rec_id_b) of records behind the links of ``cross_split_overlaps``. A record
+    that has rows with different texts may give a pair once for each."""
     classes, links = cross_split_overlaps(records, least)
-    wanted = cut(classes.join(links.select(F.explode(F.array("rep_eval", "rep_train")).alias("rep")).distinct(), "rep"))
-    train = wanted.where("split_name = 'train'").select(F.col("rep").alias("rep_train"), F.col("rec_id").alias("train_id"))
-    held = wanted.where("split_name <> 'train'").select(F.col("rep").alias("rep_eval"), F.col("rec_id").alias("eval_id"), "split_name")
+    train = classes.where("split_name = 'train'").select(F.col("rep").alias("rep_train"), F.col("rec_id").alias("train_id"))
+    held = classes.where("split_name <> 'train'").select(F.col("rep").alias("rep_eval"), F.col("rec_id").alias("eval_id"), "split_name")
     pairs = links.join(held, "rep_eval").join(train, "rep_train")
-    return pairs.select(F.least("eval_id", "train_id").alias("rec_id_a"), F.greatest("eval_id", "train_id").alias("rec_id_b"), "eval_id", "train_id", "split_name", "similarity", "matched").distinct()
+    return pairs.select(F.least("eval_id", "train_id").alias("rec_id_a"), F.greatest("eval_id", "train_id").alias("rec_id_b"), "eval_id", "train_id", "split_name", "similarity", "matched")
+
+
+def record_coverage(records: DataFrame, least: float = 0.7) -> DataFrame:
+    """Every held-out record with words: (rec_id, split_name, rep, n_words, n_classes, n_train, similarity,
+    matched, coverage). n_classes and n_train count the training texts and training records it is linked
+    with, copies included; similarity is the highest; matched is the most words aligned with one of
+    them, and coverage its share of the record's words. Zeros where it is linked with none."""
+    classes, links = cross_split_overlaps(records, least)
+    copies = classes.where("split_name = 'train'").groupBy(F.col("rep").alias("rep_train")).agg(F.count_distinct("rec_id").alias("copies"))
+    best = links.join(copies, "rep_train").groupBy(F.col("rep_eval").alias("rep")).agg(F.count("*").alias("n_classes"), F.sum("copies").alias("n_train"), F.max("similarity").alias("similarity"), F.max("matched").alias("matched"))
+    held = classes.where("split_name <> 'train'").join(best, "rep", "left").na.fill(0, ["n_classes", "n_train", "similarity", "matched"])
+    return held.select("rec_id", "split_name", "rep", "n_words", "n_classes", "n_train", "similarity", "matched", F.round(F.col("matched") / F.col("n_words"), 6).alias("coverage"))

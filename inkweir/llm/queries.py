@@ -81,23 +81,56 @@ def _cloze_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "instances").select(F.col("inst_no").alias("rec_id"), "split_name", F.get("cloze", F.lit(0)).alias("text"))
 
 
-@registry.query("p4_found")
+_P4_PAIRS = r"""
+WITH w AS (SELECT inst_no, split_name, list_distinct(regexp_extract_all(lower(strip_accents(cloze[1])), '[a-z0-9]+')) AS words FROM instances WHERE split_name IS NOT NULL),
+s AS (SELECT * FROM w WHERE len(words) > 0),
+o AS (SELECT e.inst_no AS e, e.split_name, t.inst_no AS t, len(list_intersect(e.words, t.words)) AS both_have, len(e.words) + len(t.words) AS n FROM s e JOIN s t ON e.split_name <> 'train' AND t.split_name = 'train'
+  AND least(len(e.words), len(t.words)) * 10 >= 7 * greatest(len(e.words), len(t.words))),
+pairs AS (SELECT DISTINCT e, split_name, t FROM o WHERE 10 * both_have >= 7 * (n - both_have))
+"""
+
+
+@registry.query("p4_found", sql=_P4_PAIRS + "SELECT least(e, t) AS inst_no_a, greatest(e, t) AS inst_no_b FROM pairs")
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a training and a held-out instance whose cited sentences share 7/10 of their words."""
     pairs = overlap.overlapping_pairs(_cloze_records(spark, sf_dir))
-    return pairs.select(F.col("rec_id_a").alias("inst_no_a"), F.col("rec_id_b").alias("inst_no_b"))
+    return pairs.select(F.col("rec_id_a").alias("inst_no_a"), F.col("rec_id_b").alias("inst_no_b")).distinct()
+
+
+def _cited_sites(instances: DataFrame) -> DataFrame:
+    """Instances once for each site they cite, a null site where they cite none or an unreadable one."""
+    sites = F.array_distinct(F.transform(F.coalesce("documents.canonical_url", F.array()), lambda u: site_of(u)))
+    return instances.select("inst_no", "split_name", F.explode_outer(sites).alias("site")).distinct()
+
 
+_SITE = "regexp_extract({0}, '^([^,)/]+),([^,)/:]+)', 2) || '.' || regexp_extract({0}, '^([^,)/]+),([^,)/:]+)', 1)"
 
-@registry.query("p4_by_split_and_site")
+
+@registry.query(
+    "p4_by_split_and_site",
+    sql=_P4_PAIRS + f""", c0 AS (SELECT inst_no, split_name, unnest(CASE WHEN len(documents) > 0 THEN list_transform(documents, lambda d: CASE WHEN regexp_matches(d.canonical_url, '^[^,)/]+,[^,)/:]+') THEN {_SITE.format('d.canonical_url')} END) ELSE [NULL] END) AS site FROM instances WHERE split_name <> 'train'),
+    c AS (SELECT DISTINCT * FROM c0), k AS (SELECT e, count(*) AS n FROM pairs GROUP BY e)
+    SELECT split_name, site, count(DISTINCT inst_no) AS n_instances, count(DISTINCT e) AS n_leaked, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_pairs FROM c LEFT JOIN k ON inst_no = e GROUP BY split_name, site""",
+)
 def p4_by_split_and_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each held-out split and cited site: its instances, and those that return in train."""
-    instances = table(spark, sf_dir, "instances").where("split_name <> 'train'")
-    sites = instances.select("inst_no", "split_name", F.explode_outer(F.array_distinct(F.transform(F.coalesce("documents.canonical_url", F.array()), lambda u: site_of(u)))).alias("site")).distinct()
-    leaked = overlap.overlapping_pairs(_cloze_records(spark, sf_dir)).groupBy(F.col("eval_id").alias("inst_no")).agg(F.count("*").alias("n_pairs"), F.max("similarity").alias("top"))
-    return (
-        sites.join(leaked, "inst_no", "left").groupBy("split_name", "site")
-        .agg(F.count_distinct("inst_no").alias("n_instances"), F.count_distinct(F.when(F.col("n_pairs") > 0, F.col("inst_no"))).alias("n_leaked"), F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n_pairs"))
-    )
+    """For each held-out split and cited site: its instances, those that return in train, and the pairs."""
+    leaked = overlap.record_coverage(_cloze_records(spark, sf_dir)).where("n_train > 0").select(F.col("rec_id").alias("inst_no"), "n_train")
+    told = _cited_sites(table(spark, sf_dir, "instances").where("split_name <> 'train'")).join(leaked, "inst_no", "left")
+    return told.groupBy("split_name", "site").agg(F.count_distinct("inst_no").alias("n_instances"), F.count_distinct(F.when(F.col("n_train") > 0, F.col("inst_no"))).alias("n_leaked"), F.coalesce(F.sum("n_train"), F.lit(0)).alias("n_pairs"))
+
+
+@registry.query("p4_coverage", sql=_P4_PAIRS + "SELECT s.inst_no, s.split_name, count(t) AS n_train FROM s LEFT JOIN pairs ON s.inst_no = e WHERE s.split_name <> 'train' GROUP BY s.inst_no, s.split_name")
+def p4_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every held-out instance with the number of training instances it returns in."""
+    return overlap.record_coverage(_cloze_records(spark, sf_dir)).select(F.col("rec_id").alias("inst_no"), "split_name", "n_train")
+
+
+@registry.query("p4_coverage_by_site")
+def p4_coverage_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each held-out split and cited site: how much of its instances is covered by training texts."""
+    covered = overlap.record_coverage(_cloze_records(spark, sf_dir)).select(F.col("rec_id").alias("inst_no"), "n_words", "matched", "coverage")
+    told = _cited_sites(table(spark, sf_dir, "instances").where("split_name <> 'train'")).join(covered, "inst_no")
+    return told.groupBy("split_name", "site").agg(F.count("*").alias("n_instances"), F.sum("n_words").alias("n_words"), F.sum("matched").alias("n_matched"), F.round(F.avg("coverage"), 6).alias("mean_coverage"), F.max("coverage").alias("max_coverage"))
 
 
 # ---------------------------------------------------------------- problem 5: splits that keep related records together
