@@ -222,7 +222,16 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- problem 9: evaluation texts in training text
 
 
-@registry.query("p9_found")
+_P9_LEAKS = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(lower(strip_accents(text)), '[a-z0-9]+') AS w FROM documents WHERE text IS NOT NULL),
+iw AS (SELECT item_id, regexp_extract_all(lower(strip_accents(text)), '[a-z0-9]+') AS w FROM eval_items WHERE text IS NOT NULL),
+ig AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS g FROM iw WHERE len(w) >= 12),
+dg AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS g FROM dw WHERE len(w) >= 12),
+leaks AS (SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g))
+"""
+
+
+@registry.query("p9_found", sql=_P9_LEAKS + "SELECT doc_id, item_id FROM leaks")
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with at least 12 consecutive words of an evaluation item, and the item."""
     return leaks.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
@@ -234,7 +243,7 @@ def p9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.near_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
-@registry.query("p9_items")
+@registry.query("p9_items", sql=_P9_LEAKS + "SELECT task, split_name, count(DISTINCT i.item_id) AS n_items, count(DISTINCT l.item_id) AS n_leaked, count(DISTINCT doc_id) AS n_docs FROM eval_items i LEFT JOIN leaks l ON l.item_id = i.item_id GROUP BY task, split_name")
 def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each task and split of the evaluation items: how many leaked, into how many documents."""
     items = table(spark, sf_dir, "eval_items")
