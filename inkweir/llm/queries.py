@@ -46,11 +46,25 @@ def p2_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.line_templates(table(spark, sf_dir, "documents"))[0].where("slots = 0").drop("slots")
 
 
-@registry.query("p2_clean")
+@registry.query(
+    "p2_clean",
+    sql=_P2_LINES + """, gone AS (SELECT DISTINCT doc_id, para_no, sent_no FROM l JOIN k USING (site, line)),
+    every AS (SELECT DISTINCT doc_id, CAST(para_no AS INT) AS para_no, CAST(sent_no AS INT) AS sent_no, sent FROM s), kept AS (SELECT every.* FROM every ANTI JOIN gone USING (doc_id, para_no, sent_no)),
+    n AS (SELECT doc_id, count(*) AS n, md5(string_agg(coalesce(sent, ''), '|' ORDER BY para_no, sent_no)) AS h FROM kept GROUP BY doc_id)
+    SELECT documents.doc_id, CAST(coalesce(n, 0) AS INT) AS n_sentences, coalesce(h, md5('')) AS body_md5 FROM documents LEFT JOIN n USING (doc_id)""".replace("n AS (SELECT doc_id, count", "m AS (SELECT doc_id, count").replace("LEFT JOIN n USING", "LEFT JOIN m USING"),
+)
 def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the repeated lines of their sites."""
+    """All documents without the repeated lines of their sites: the sentences left, and a hash of them."""
+    documents = table(spark, sf_dir, "documents")
+    clean = site_lines.without_lines(documents, site_lines.repeated_lines(documents)).select("doc_id", F.coalesce(F.flatten("paragraphs"), F.array().cast("array<string>")).alias("body"))
+    return clean.select("doc_id", F.size("body").alias("n_sentences"), F.md5(F.encode(F.array_join("body", "|", ""), "UTF-8")).alias("body_md5"))
+
+
+@registry.query("p2_clean_templates")
+def p2_clean_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of their sites' templates, those with some slots too."""
     documents = table(spark, sf_dir, "documents")
-    return site_lines.without_lines(documents, site_lines.repeated_lines(documents)).withColumn("n_sentences", F.coalesce(F.size(F.flatten("paragraphs")), F.lit(0)))
+    return site_lines.without_lines(documents, site_lines.templated_lines(documents)).withColumn("n_sentences", F.coalesce(F.size(F.flatten("paragraphs")), F.lit(0)))
 
 
 # ---------------------------------------------------------------- problem 3: template residue and error pages
