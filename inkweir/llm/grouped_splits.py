@@ -1,13 +1,16 @@
 """Splits that keep related records together.
 
 Records sharing an entity or a source form groups: connected components of records, each linked to the
-smallest one of its entity and of each of its sources. Whole groups are then allocated by a min-cost flow:
-groups of one size and one label profile are a bundle, bundles flow into the splits' quotas at the cost
-of leaving the split that most of their records had, and the flow is rounded to whole groups. The members
-of a bundle take the splits in the order of a hash.
-
-Sizes: the driver sees bundles, never groups. Distinct sizes of N records number at most sqrt(2 N), so
-bundles are at most sqrt(2 N) times the labels.
+smallest one of its entity and of each of its sources, by way of the smallest ones of hash buckets, so
+that an entity or a source with a third of all rows is joined in many tasks. Whole groups are then
+allocated by a min-cost flow: groups of one size and one label profile (how many of their records had each
+split before) are a bundle, bundles flow into the splits at the cost of every record that leaves its
+earlier split, a split's deviation from its quota costs more than any such move, and the flow is rounded to
+whole groups. The members of a bundle take the splits in the order of a hash.
+
+Sizes: the driver sees bundles, never groups. Different profiles of three counts and a sum up to s number
+s^3 / 6, so N records have at most about (8 N)^(3/4) / 6 bundles, some five million for 10^9 records that
+were made to have as many as they can; sizes of real groups repeat.
 """
 
 from __future__ import annotations
@@ -24,6 +27,10 @@ from inkweir.session import cut
 
 #: Hash buckets by which the members of a bundle are ranked; a task ranks one bucket.
 RANK_BUCKETS = 1024
+#: Hash buckets in which the records of one entity or source are joined.
+LINK_BUCKETS = 64
+#: Cost of a record above or below a split's quota; a record that leaves its earlier split costs 1.
+DEVIATION = 10.0
 
 
 def same_url(url: Column) -> Column:
@@ -38,37 +45,44 @@ def record_groups(records: DataFrame) -> DataFrame:
     smallest rec_id. Records without either, and with null or empty sources, stand alone; records
     without an id are left out; repeated rows give one row; an empty table gives none."""
     told = records.where("rec_id is not null").select("rec_id", F.col("entity"), F.filter(F.array_distinct(F.coalesce("sources", F.array().cast("array<string>"))), lambda s: s.isNotNull()).alias("sources"))
-    by_entity = told.where("entity is not null").groupBy("entity").agg(F.min("rec_id").alias("root"))
-    rooted = told.join(by_entity, "entity", "left").select("rec_id", F.coalesce("root", "rec_id").alias("root"), "sources")
-    rooted = cut(rooted)
-    cited = rooted.select("root", F.explode("sources").alias("source")).distinct()
-    least = cited.groupBy("source").agg(F.min("root").alias("least"), F.count("*").alias("n")).where("n > 1")
-    edges = cited.join(least, "source").select(F.col("root").alias("u"), F.col("least").alias("v"))
-    # one record may stand in several rows with different entities
-    same = rooted.groupBy("rec_id").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(F.col("high").alias("u"), F.col("low").alias("v"))
-    roots = connected_components(edges.unionByName(same))
-    return rooted.select("rec_id", "root").distinct().join(roots.toDF("root", "group_no"), "root", "left").select("rec_id", F.coalesce("group_no", "root").alias("group_no")).distinct()
-
-
-def allocate(bundles: list[tuple[int, str, int]], shares: dict[str, float]) -> dict[tuple[int, str], dict[str, int]]:
-    """bundles (size, label, groups) to the number of groups of each that each split gets.
-
-    Min-cost flow of records into the splits' quotas: a record costs 1 in a split other than its label,
-    and a group larger than a quota can't enter that split unless it fits none. As only the splits are
-    shared by bundles, shortest augmenting paths run over the splits alone, with a heap for each pair of
-    splits. The flow is rounded down to whole groups; the rest, fewer groups a bundle than there are
-    splits, go largest first to where most is missing.
+    told = cut(told)
+    linked = told.where("entity is not null").select("rec_id", "entity", F.pmod(F.xxhash64("rec_id"), F.lit(LINK_BUCKETS)).alias("bucket"))
+    by_entity = linked.groupBy("entity", "bucket").agg(F.min("rec_id").alias("root"))
+    rooted = linked.join(by_entity, ["entity", "bucket"]).select("rec_id", "root").unionByName(told.where("entity is null").select("rec_id", F.col("rec_id").alias("root")))
+    # a record of several rows with different entities has several roots
+    rooted = cut(rooted.groupBy("rec_id").agg(F.min("root").alias("root"), F.max("root").alias("high")))
+    same = rooted.where("root < high").select(F.col("high").alias("u"), F.col("root").alias("v"))
+    between = by_entity.join(by_entity.groupBy("entity").agg(F.min("root").alias("v")), "entity").where("root <> v").select(F.col("root").alias("u"), "v")
+    cited = told.select("rec_id", F.explode("sources").alias("source")).join(rooted.select("rec_id", "root"), "rec_id").select("root", "source").distinct()
+    cited = cited.withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(LINK_BUCKETS)))
+    by_source = cited.groupBy("source", "bucket").agg(F.min("root").alias("low"), F.count("*").alias("n"))
+    inside = cited.join(by_source.where("n > 1"), ["source", "bucket"]).where("root <> low").select(F.col("root").alias("u"), F.col("low").alias("v"))
+    across = by_source.join(by_source.groupBy("source").agg(F.min("low").alias("v")), "source").where("low <> v").select(F.col("low").alias("u"), "v")
+    roots = connected_components(same.unionByName(between).unionByName(inside).unionByName(across))
+    return rooted.select("rec_id", "root").join(roots.toDF("root", "group_no"), "root", "left").select("rec_id", F.coalesce("group_no", "root").alias("group_no"))
+
+
+def allocate(bundles: list[tuple[int, tuple[int, ...], int]], shares: dict[str, float], deviation: float = DEVIATION) -> dict[tuple[int, tuple[int, ...]], dict[str, int]]:
+    """bundles (size, records of each earlier split in the order of ``shares``, groups) to the number of
+    groups of each that each split gets.
+
+    Min-cost flow of records: each record of a group costs, in a split, the share of the group's records
+    that were elsewhere, and ``deviation`` for each record by which a split is above or below its quota.
+    Groups that exceed a split's whole quota cost as much as they exceed it by there. As only the splits
+    are shared by bundles, shortest augmenting paths run over the splits alone, with a heap for each pair
+    of splits, as long as a path costs less than the deviation it takes away. The flow is rounded down to
+    whole groups; the rest, fewer groups a bundle than there are splits, go largest first to where the
+    deviation grows least.
     """
     names = list(shares)
     total = sum(size * n for size, _, n in bundles)
     quota = {s: shares[s] * total for s in names}
-    largest = max(names, key=lambda s: shares[s])
     flow = {(b, s): 0.0 for b in range(len(bundles)) for s in names}
     load = dict.fromkeys(names, 0.0)
 
     def cost(b: int, s: str) -> float:
-        size, label, _ = bundles[b]
-        return (0 if label == s else 1) + (1e6 if size > quota[s] and s != largest else 0)
+        size, profile, _ = bundles[b]
+        return 1 - profile[names.index(s)] / size + 2 * deviation * max(0.0, size - quota[s]) / size
 
     heaps: dict[tuple[str, str], list] = {(s, t): [] for s in names for t in names if s != t}
 
@@ -101,8 +115,8 @@ def allocate(bundles: list[tuple[int, str, int]], shares: dict[str, float]) -> d
                 if far[s][0] < float("inf") and (arc := cheapest(s, t)) and far[s][0] + arc[0] < far[t][0] - 1e-9:
                     far[t] = (far[s][0] + arc[0], (s, arc[1]))
         goal = min(under, key=lambda t: far[t][0])
-        if far[goal][0] >= 1e5:
-            break  # only groups that fit no quota are left
+        if far[goal][0] >= 2 * deviation:
+            break  # what is moved costs more than the deviation of both ends
         path, at = [], goal
         while far[at][1] is not None and len(path) <= len(names):
             path.append((far[at][1][0], at, far[at][1][1]))
@@ -115,44 +129,40 @@ def allocate(bundles: list[tuple[int, str, int]], shares: dict[str, float]) -> d
     whole = {}
     load = dict.fromkeys(names, 0)
     rest = []
-    for b, (size, label, n) in enumerate(bundles):
-        whole[size, label] = {s: int((flow[b, s] + 1e-6) // size) for s in names}
+    for b, (size, profile, n) in enumerate(bundles):
+        whole[size, profile] = {s: int((flow[b, s] + 1e-6) // size) for s in names}
         for s in names:
-            load[s] += whole[size, label][s] * size
-        rest += [(size, label)] * (n - sum(whole[size, label].values()))
-    for size, label in sorted(rest, key=lambda x: (-x[0], x[1])):
-        # the split whose deviation from its quota grows least
-        best = min(names, key=lambda s: (abs(load[s] + size - quota[s]) - abs(load[s] - quota[s]), s != label))
-        whole[size, label][best] += 1
+            load[s] += whole[size, profile][s] * size
+        rest += [(size, profile)] * (n - sum(whole[size, profile].values()))
+    for size, profile in sorted(rest, key=lambda x: (-x[0], x[1])):
+        grown = lambda s: deviation * (abs(load[s] + size - quota[s]) - abs(load[s] - quota[s]))  # noqa: B023, E731
+        best = min(names, key=lambda s: grown(s) + size - profile[names.index(s)])
+        whole[size, profile][best] += 1
         load[best] += size
     return whole
 
 
 def split_groups(groups: DataFrame, labels: DataFrame, shares: dict[str, float] | None = None, seed: str = "split") -> DataFrame:
     """groups(rec_id, group_no) and labels(rec_id, label), the earlier split of each record, to
-    (rec_id, group_no, split): whole groups, shares as close as they allow. Null labels are a label of
-    their own. Deterministic for a seed. An empty table gives no rows."""
+    (rec_id, group_no, split): whole groups, shares as close as they allow. Null labels, and such that name
+    no split, are at home nowhere. Deterministic for a seed. An empty table gives no rows."""
     shares = shares or {"train": 0.8, "valid": 0.1, "test": 0.1}
     names = list(shares)
     groups = groups.select("rec_id", "group_no")
     once = labels.groupBy("rec_id").agg(F.min("label").alias("label"))
     told = groups.join(once, "rec_id", "left")
-    counted = [F.count_if(F.col("label") == s).alias(f"n_{i}") for i, s in enumerate(names)]
-    sized = told.groupBy("group_no").agg(F.count("*").alias("size"), *counted)
-    top = F.greatest(*(F.col(f"n_{i}") for i in range(len(names))))
-    label = F.lit("")
-    for i in reversed(range(len(names))):
-        label = F.when((F.col(f"n_{i}") == top) & (top > 0), F.lit(names[i])).otherwise(label)
+    counted = F.array(*(F.count_if(F.col("label") == s) for s in names))
+    sized = told.groupBy("group_no").agg(F.count("*").alias("size"), counted.alias("profile"))
     h = F.xxhash64(F.lit(seed), "group_no")
-    sized = cut(sized.select("group_no", "size", label.alias("label"), h.alias("h"), F.pmod(F.shiftright(h, 20), F.lit(RANK_BUCKETS)).alias("bucket")))
-    filled = sized.groupBy("size", "label", "bucket").agg(F.count("*").alias("n"))
-    bundles = filled.groupBy("size", "label").agg(F.sum("n").alias("n")).collect()
-    plan = allocate(sorted((r["size"], r["label"], r["n"]) for r in bundles), shares)
-    rows = [(size, lab, [sum(n[s] for s in names[: i + 1]) for i in range(len(names))]) for (size, lab), n in plan.items()]
-    limits = groups.sparkSession.createDataFrame(rows, T.StructType([T.StructField("size", T.LongType()), T.StructField("label", T.StringType()), T.StructField("limits", T.ArrayType(T.LongType()))]))
-    before = filled.withColumn("before", F.sum("n").over(Window.partitionBy("size", "label").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
-    ranked = sized.withColumn("rank", F.row_number().over(Window.partitionBy("size", "label", "bucket").orderBy("h", "group_no")))
-    placed = ranked.join(before.drop("n"), ["size", "label", "bucket"]).join(limits, ["size", "label"])
+    sized = cut(sized.select("group_no", "size", "profile", h.alias("h"), F.pmod(F.shiftright(h, 20), F.lit(RANK_BUCKETS)).alias("bucket")))
+    filled = sized.groupBy("size", "profile", "bucket").agg(F.count("*").alias("n"))
+    bundles = filled.groupBy("size", "profile").agg(F.sum("n").alias("n")).collect()
+    plan = allocate(sorted((r["size"], tuple(r["profile"]), r["n"]) for r in bundles), shares)
+    rows = [(size, list(profile), [sum(n[s] for s in names[: i + 1]) for i in range(len(names))]) for (size, profile), n in plan.items()]
+    limits = groups.sparkSession.createDataFrame(rows, T.StructType([T.StructField("size", T.LongType()), T.StructField("profile", T.ArrayType(T.LongType())), T.StructField("limits", T.ArrayType(T.LongType()))]))
+    before = filled.withColumn("before", F.sum("n").over(Window.partitionBy("size", "profile").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)))
+    ranked = sized.withColumn("rank", F.row_number().over(Window.partitionBy("size", "profile", "bucket").orderBy("h", "group_no")))
+    placed = ranked.join(before.drop("n"), ["size", "profile", "bucket"]).join(limits, ["size", "profile"])
     rank = F.coalesce("before", F.lit(0)) + F.col("rank")
     split = F.get(F.array(*map(F.lit, names)), F.size(F.filter("limits", lambda x: x < rank)))
     return groups.join(placed.select("group_no", split.alias("split")), "group_no").select("rec_id", "group_no", "split")

@@ -4,9 +4,11 @@ Lengths are tokens of a public tokenizer. Texts stay whole unless they exceed th
 allowed; then full containers are cut off and the rest is packed like any text. Packing is best-fit
 decreasing over the histogram of lengths: all items of one length are placed together into containers
 of one state, always those with the least room that still holds the item, so that the driver handles
-lengths and container states, never texts. With several permitted capacities a new container is opened
-at the capacity of least cost, and in the end every container is downsized to the smallest capacity
-that holds its contents; the opening policies are compared on the whole histogram and the cheapest kept.
+lengths and container states, never texts. With several permitted capacities each new container is opened
+at the capacity of least cost for what is then left: each capacity is filled in thought with the lengths
+that remain, largest first, and downsized to what it holds, and the one with the fewest tokens paid for a
+token stored is opened, as often as the lengths counted on for it last. In the end every container is
+downsized to the smallest capacity that holds its contents.
 
 Sizes: the histogram has at most one row per length up to the largest capacity. Texts take their places
 by their rank among those of their length, counted through hash buckets, so that no task ranks a length
@@ -16,6 +18,7 @@ alone.
 from __future__ import annotations
 
 import base64
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -66,14 +69,15 @@ def token_counts(documents: DataFrame, tokenizer: str) -> DataFrame:
 class Packing:
     """Containers in groups of equal content: groups[g] = (number, room left, {length: items in each})."""
 
-    def __init__(self, histogram: dict[int, int], capacities: list[int], policy: str = "largest") -> None:
+    def __init__(self, histogram: dict[int, int], capacities: list[int]) -> None:
         self.capacities = sorted(capacities)
-        top = self.capacities[-1]
         self.groups: list[list] = []
         #: length -> [(first rank, items per container, group)], ranks in the order of packing
         self.places: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         by_room: dict[int, list[int]] = defaultdict(list)  # room left -> groups
-        for size in sorted((s for s in histogram if s > 0), reverse=True):
+        sizes = sorted(s for s in histogram if s > 0)
+        for at in range(len(sizes) - 1, -1, -1):
+            size = sizes[at]
             left, rooms = histogram[size], sorted(r for r in by_room if r >= size and by_room[r])
             rank = 0
             for room in rooms:
@@ -88,17 +92,34 @@ class Packing:
                     rank += used * each
                     left -= used * each
             while left:
-                capacity = top if policy == "largest" else min(c for c in self.capacities if c >= size) if policy == "smallest" else self._fitting(size)
-                each = min(capacity // size, left)
-                used = left // each
+                capacity, each, used = self._cheapest(sizes, at, left, histogram)
                 self.groups.append([used, capacity, {}, capacity])
                 self._fill(len(self.groups) - 1, size, each, rank, by_room)
                 rank += used * each
                 left -= used * each
 
-    def _fitting(self, size: int) -> int:
-        """The capacity that items of this length alone would leave least of unused, in shares."""
-        return min((c for c in self.capacities if c >= size), key=lambda c: ((c % size) / c, c))
+    def _cheapest(self, sizes: list[int], at: int, left: int, histogram: dict[int, int]) -> tuple[int, int, int]:
+        """(capacity, items of length sizes[at] in each, containers) to open next, ``left`` items of that
+        length and all shorter ones being left."""
+        best = None
+        for capacity in (c for c in self.capacities if c >= sizes[at]):
+            room, k, number, each = capacity, at, None, 0
+            while k >= 0 and room:
+                k = min(k, bisect_right(sizes, room) - 1)
+                if k < 0:
+                    break
+                stock = left if k == at else histogram[sizes[k]]
+                n = min(room // sizes[k], stock)
+                if n:
+                    room -= n * sizes[k]
+                    number = stock // n if number is None else min(number, stock // n)
+                    each = n if k == at else each
+                k -= 1
+            held = capacity - room
+            paid = min(c for c in self.capacities if c >= held)
+            if best is None or (paid / held, -capacity) < best[0]:
+                best = ((paid / held, -capacity), (capacity, each, number if len(self.capacities) > 1 else left // each))
+        return best[1]
 
     def _split(self, g: int, used: int, by_room: dict) -> None:
         number, room, content, capacity = self.groups[g]
@@ -138,9 +159,8 @@ class Packing:
 
 
 def pack_histogram(histogram: dict[int, int], capacities: list[int]) -> Packing:
-    """The cheapest packing of the opening policies; with one capacity they are the same."""
-    policies = ["largest"] if len(capacities) == 1 else ["largest", "smallest", "fitting"]
-    return min((Packing(histogram, capacities, p) for p in policies), key=lambda p: (p.cost, p.containers))
+    """The packing of items by length into containers of one or several capacities."""
+    return Packing(histogram, capacities)
 
 
 def _pieces(counts: DataFrame, capacity: int) -> DataFrame:
@@ -185,7 +205,8 @@ def assign(counts: DataFrame, capacities: list[int]) -> DataFrame:
         rows = [(-1, 0, 0, 1, 0, capacities[0])]
     fields = ["n", "first", "end", "each", "container", "capacity"]
     places = spark.createDataFrame(pd.DataFrame(rows, columns=fields), T.StructType([T.StructField(f, T.LongType()) for f in fields]))
-    segment = places.groupBy("n").agg(F.array_sort(F.collect_list(F.struct("first", "end", "each", "container", "capacity"))).alias("segments"))
+    # the driver made these rows, a few for each length, so that they may be sent
+    segment = F.broadcast(places.groupBy("n").agg(F.array_sort(F.collect_list(F.struct("first", "end", "each", "container", "capacity"))).alias("segments")))
     found = ranked.join(segment, "n").withColumn("at", F.get(F.filter("segments", lambda s: (s["first"] <= F.col("rank")) & (F.col("rank") < s["end"])), F.lit(0)))
     number = F.col("at.container") + F.floor((F.col("rank") - F.col("at.first")) / F.col("at.each"))
     return found.select("doc_id", "piece_no", "start_token", F.col("n").alias("n_tokens"), number.alias("container_no"), F.col("at.capacity").alias("capacity"))
@@ -195,8 +216,11 @@ def assign_each(documents: DataFrame, containers: DataFrame, tokenizer: str | No
     """An assignment of all documents for every row of containers(container_kind, capacity) by itself:
     (container_kind, capacity, container_no, doc_id, piece_no, start_token, n_tokens). Null and
     non-positive capacities are left out; containers is a table of a few kinds, read by the driver."""
-    counts = cut(token_counts(documents, tokenizer or default_tokenizer()))
-    kinds = containers.where("capacity > 0").select("container_kind", "capacity").distinct().orderBy("capacity", "container_kind").collect()
+    return _each(cut(token_counts(documents, tokenizer or default_tokenizer())), containers)
+
+
+def _each(counts: DataFrame, containers: DataFrame) -> DataFrame:
+    kinds = containers.where("capacity > 0").select("container_kind", F.col("capacity").cast("bigint").alias("capacity")).distinct().orderBy("capacity", "container_kind").collect()
     out = None
     for kind in kinds:
         rows = assign(counts, [kind["capacity"]]).select(F.lit(kind["container_kind"]).alias("container_kind"), "capacity", "container_no", "doc_id", "piece_no", "start_token", "n_tokens")
@@ -209,9 +233,19 @@ def assign_each(documents: DataFrame, containers: DataFrame, tokenizer: str | No
 def assign_jointly(documents: DataFrame, containers: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """One assignment of all documents to containers of all permitted capacities together; columns as in
     ``assign_each``."""
-    counts = cut(token_counts(documents, tokenizer or default_tokenizer()))
+    return _jointly(cut(token_counts(documents, tokenizer or default_tokenizer())), containers)
+
+
+def _jointly(counts: DataFrame, containers: DataFrame) -> DataFrame:
     kinds = containers.where("capacity > 0").groupBy(F.col("capacity").cast("bigint").alias("capacity")).agg(F.min("container_kind").alias("container_kind"))
     capacities = [r["capacity"] for r in kinds.collect()]
     if not capacities:
-        return assign_each(documents.where("false"), containers.where("false"), tokenizer)
-    return assign(counts, capacities).join(kinds, "capacity").select("container_kind", "capacity", "container_no", "doc_id", "piece_no", "start_token", "n_tokens")
+        return _each(counts, containers.where("false"))
+    return assign(counts, capacities).join(F.broadcast(kinds), "capacity").select("container_kind", "capacity", "container_no", "doc_id", "piece_no", "start_token", "n_tokens")
+
+
+def assign_both(documents: DataFrame, containers: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """The assignments of ``assign_each`` (way each) and of ``assign_jointly`` (way joint), texts being
+    measured once."""
+    counts = cut(token_counts(documents, tokenizer or default_tokenizer()))
+    return _each(counts, containers).withColumn("way", F.lit("each")).unionByName(_jointly(counts, containers).withColumn("way", F.lit("joint")))

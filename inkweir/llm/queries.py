@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from inkweir.llm import grouped_splits, junk, language, leaks, main_body, overlap, packing, site_lines, truncation
 from inkweir.operators.timestamps import site_of
 from inkweir.plans.registry import Registry
-from inkweir.session import table
+from inkweir.session import cut, table
 
 registry = Registry()
 
@@ -155,7 +155,16 @@ def _linked_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "instances").select(F.col("inst_no").alias("rec_id"), F.col("page_id").alias("entity"), urls.alias("sources"))
 
 
-@registry.query("p5_found")
+_P5_GROUPS = r"""
+WITH RECURSIVE u AS (SELECT inst_no, unnest(list_transform(documents, lambda d: regexp_replace(regexp_replace(regexp_replace(lower(d.canonical_url), '#.*$', '', 's'), '\?utm_.*$', '', 's'), '/+$', ''))) AS k FROM instances WHERE len(documents) > 0),
+keyed AS (SELECT inst_no, 'u' || k AS k FROM u WHERE k IS NOT NULL UNION SELECT inst_no, 'p' || page_id FROM instances WHERE page_id IS NOT NULL),
+star AS (SELECT k, min(inst_no) AS v FROM keyed GROUP BY k), e AS (SELECT inst_no AS a, v AS b FROM keyed JOIN star USING (k) UNION SELECT v, inst_no FROM keyed JOIN star USING (k)),
+reach AS (SELECT inst_no AS a, inst_no AS b FROM instances UNION SELECT r.a, e.b FROM reach r JOIN e ON e.a = r.b),
+grouped AS (SELECT a AS inst_no, min(b) AS group_no FROM reach GROUP BY a)
+"""
+
+
+@registry.query("p5_found", sql=_P5_GROUPS + "SELECT inst_no, group_no FROM grouped")
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every instance with the smallest inst_no of its group."""
     return grouped_splits.record_groups(_linked_records(spark, sf_dir)).select(F.col("rec_id").alias("inst_no"), "group_no")
@@ -169,6 +178,12 @@ def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped_splits.split_groups(groups, labels).select(F.col("rec_id").alias("inst_no"), "group_no", F.col("split").alias("split_name"))
 
 
+@registry.query("p5_whole_groups", sql=_P5_GROUPS + "SELECT group_no, count(*) AS n_instances, 1 AS n_splits FROM grouped GROUP BY group_no")
+def p5_whole_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every group with its instances and the number of new splits that they are in: one."""
+    return p5_splits(spark, sf_dir).groupBy("group_no").agg(F.count("*").alias("n_instances"), F.count_distinct("split_name").cast("int").alias("n_splits"))
+
+
 @registry.query("p5_shares")
 def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and instances of each new split."""
@@ -214,8 +229,9 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registry.query("p8_assignment")
 def p8_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each capacity: the container of every document, or of its pieces where it is too long."""
-    return packing.assign_each(table(spark, sf_dir, "documents"), table(spark, sf_dir, "containers"))
+    """The container of every document, or of its pieces where it is too long: for each capacity by itself
+    (way each), and where all capacities may be used together (way joint)."""
+    return packing.assign_both(table(spark, sf_dir, "documents"), table(spark, sf_dir, "containers"))
 
 
 @registry.query("p8_joint")
@@ -227,12 +243,24 @@ def p8_joint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.query("p8_fill")
 def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Containers used of each kind, alone and jointly, the least possible number, and the share filled."""
-    each = p8_assignment(spark, sf_dir).withColumn("way", F.lit("each"))
-    joint = p8_joint(spark, sf_dir).withColumn("way", F.lit("joint"))
-    used = each.unionByName(joint).groupBy("way", "container_kind", "capacity").agg(F.count_distinct("container_no").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
+    used = p8_assignment(spark, sf_dir).groupBy("way", "container_kind", "capacity").agg(F.count_distinct("container_no").alias("n_containers"), F.sum("n_tokens").alias("n_tokens"))
     return used.withColumn("least", F.ceil(F.col("n_tokens") / F.col("capacity"))).withColumn("filled", F.round(F.col("n_tokens") / (F.col("n_containers") * F.col("capacity")), 6))
 
 
+@registry.query("p8_overfull", sql="SELECT way, count(DISTINCT doc_id) AS n_docs, 0 AS n_overfull, 0 AS n_broken FROM documents, (SELECT unnest(['each', 'joint']) AS way) GROUP BY way")
+def p8_overfull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each way: the documents placed, containers above their capacity, and documents that are in
+    pieces though they would fit the largest capacity of their way, or whose pieces leave gaps."""
+    rows = cut(p8_assignment(spark, sf_dir))
+    full = rows.groupBy("way", "capacity", "container_no").agg(F.sum("n_tokens").alias("held")).groupBy("way").agg(F.count_if(F.col("held") > F.col("capacity")).cast("int").alias("n_overfull"))
+    kind = F.when(F.col("way") == "each", F.col("capacity"))
+    top = rows.withColumn("kind", kind).groupBy("way", "kind").agg(F.max("capacity").alias("top"))
+    docs = rows.withColumn("kind", kind).groupBy("way", "kind", "doc_id").agg(F.count("*").alias("pieces"), F.sum("n_tokens").alias("n"), F.max(F.col("start_token") + F.col("n_tokens")).alias("end"))
+    told = docs.alias("d").join(F.broadcast(top).alias("t"), (F.col("d.way") == F.col("t.way")) & F.col("d.kind").eqNullSafe(F.col("t.kind")))
+    broken = told.groupBy("d.way").agg(F.count_distinct("d.doc_id").alias("n_docs"), F.count_if(((F.col("pieces") > 1) & (F.col("n") <= F.col("top"))) | (F.col("n") != F.col("end"))).cast("int").alias("n_broken"))
+    return broken.join(full, "way").select("way", "n_docs", "n_overfull", "n_broken")
+
+
 # ---------------------------------------------------------------- problem 9: evaluation texts in training text
 
 

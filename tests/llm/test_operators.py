@@ -86,6 +86,26 @@ def test_repeated_lines_equal_brute_force(spark):
     assert clean[7][-1] == ["only here hxa"] and clean[100] is None
 
 
+def test_slotted_templates_are_removed_and_wildcards_are_tokens(spark):
+    names = [f"n{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40)]
+    rows = [(i, f"example,s)/{i}", "t", "en", "", [[f"thanks for reading dear {n} today", f"{n} has <*> here", "so much for <*> now", f"{n} one {n} two {n} three"]]) for i, n in enumerate(names)]
+    df = docs(spark, rows)
+    assert {(r["template"], r["slots"]) for r in site_lines.line_templates(df)[0].collect()} == {("thanks for reading dear <*> today", 1), ("so much for <*> now", 0)}
+    assert {r["sent_no"] for r in site_lines.repeated_lines(df).collect()} == {2}
+    assert {r["sent_no"] for r in site_lines.templated_lines(df).collect()} == {0, 2}
+    kept = site_lines.without_lines(df, site_lines.templated_lines(df)).where("doc_id = 3").first()["paragraphs"]
+    assert kept == [[f"{names[3]} has <*> here", f"{names[3]} one {names[3]} two {names[3]} three"]]
+
+
+def test_hot_leaves_and_lines_in_parts(spark, monkeypatch):
+    random.seed(14)
+    rows = [(i, f"example,s{0 if i < 60 else i % 4})/{i}", "t", "en", "", [["Read more on this site", f"own {i} line {chr(97 + i % 26)}"], [random.choice(EN)]]) for i in range(120)]
+    want = brute_lines(rows, 5, 0.1)
+    monkeypatch.setattr(site_lines, "SENT_BYTES", -1)
+    monkeypatch.setattr(site_lines, "HOT_ROWS", 10)
+    assert {tuple(r) for r in site_lines.repeated_lines(docs(spark, rows), 5, 0.1).select("doc_id", "para_no", "sent_no").collect()} == want
+
+
 def test_repeated_lines_of_odd_documents(spark):
     df = odd_documents(spark)
     assert site_lines.repeated_lines(df, 2, 0.0).count() == 0
@@ -120,6 +140,33 @@ def test_overlaps_equal_brute_force(spark):
     assert got == brute_pairs(rows)
 
 
+def test_overlaps_without_a_common_run(spark, monkeypatch):
+    random.seed(15)
+    vocabulary = [f"w{k}" for k in range(90)]
+    rows = []
+    for i in range(0, 240, 2):
+        base = random.sample(vocabulary, random.randint(14, 30))
+        other = [w for k, w in enumerate(base) if k % 4 != 3] if i % 4 else [w if k % 5 else random.choice(vocabulary) for k, w in enumerate(base)]
+        if i % 3 == 0:
+            random.shuffle(other)  # the same words in any order
+        rows += [(i, "train", " ".join(base)), (i + 1, "test", " ".join(other))]
+    want = brute_pairs(rows)
+    got = lambda: {(r["rec_id_a"], r["rec_id_b"]) for r in overlap.overlapping_pairs(records(spark, rows)).collect()}
+    assert got() == want and len(want) > 60
+    monkeypatch.setattr(overlap, "HOT", 0)
+    monkeypatch.setattr(overlap, "COUNTERS", 16)  # every seed is frequent
+    assert got() == want
+
+
+def test_coverage_per_record(spark):
+    rows = [(1, "train", "a b c d e f g h i j"), (2, "train", "a b c d e f g h i j"), (3, "test", "a b c d e f g x i j"), (4, "valid", "nothing like it"), (5, "test", "A B C d e f g h i j")]
+    got = {r["rec_id"]: r for r in overlap.record_coverage(records(spark, rows)).collect()}
+    assert set(got) == {3, 4, 5}
+    assert (got[3]["n_classes"], got[3]["n_train"], got[3]["matched"], got[3]["coverage"]) == (1, 2, 9, 0.9)
+    assert (got[4]["n_train"], got[4]["coverage"]) == (0, 0) and (got[5]["n_train"], got[5]["coverage"]) == (2, 1)
+    assert overlap._common(list("abcbdab"), list("bdcaba")) == 4 and overlap._common([], ["a"]) == 0
+
+
 def test_copies_are_one_class_and_long_texts_pass(spark):
     long = " ".join(f"v{k % 997}" for k in range(30_000))
     rows = [(i, "train", "the same old story of the town") for i in range(50)] + [(60, "test", "The same old story of the town"), (61, "train", long), (62, "test", long + " end")]
@@ -176,12 +223,24 @@ def test_groups_equal_union_find_and_splits_keep_them(spark):
 
 
 def test_allocation_meets_quotas():
-    plan = grouped_splits.allocate([(1, "train", 700), (1, "valid", 50), (2, "test", 60), (5, "", 20), (30, "train", 1)], {"train": 0.8, "valid": 0.1, "test": 0.1})
-    load = {s: sum(size * n[s] for (size, _), n in plan.items()) for s in ("train", "valid", "test")}
+    shares = {"train": 0.8, "valid": 0.1, "test": 0.1}
+    bundles = [(1, (1, 0, 0), 700), (1, (0, 1, 0), 50), (2, (0, 0, 2), 60), (5, (0, 0, 0), 20), (30, (30, 0, 0), 1)]
+    plan = grouped_splits.allocate(bundles, shares)
+    load = {s: sum(size * n[s] for (size, _), n in plan.items()) for s in shares}
     assert load == {"train": 800, "valid": 100, "test": 100}
-    assert plan[1, "valid"]["valid"] == 50 and plan[2, "test"]["test"] == 50 - 0 or load["test"] == 100
-    one = grouped_splits.allocate([(100, "train", 1)], {"train": 0.8, "valid": 0.1, "test": 0.1})
-    assert one[100, "train"]["train"] == 1
+    assert plan[1, (0, 1, 0)]["valid"] == 50 and plan[2, (0, 0, 2)]["test"] == 50
+    one = grouped_splits.allocate([(100, (100, 0, 0), 1)], shares)
+    assert one[100, (100, 0, 0)]["train"] == 1
+    assert grouped_splits.allocate([], shares) == {}
+
+
+def test_allocation_reads_the_whole_profile():
+    shares = {"train": 0.5, "valid": 0.25, "test": 0.25}
+    # most records of both were in train, but the second costs less in test
+    plan = grouped_splits.allocate([(10, (6, 4, 0), 2), (10, (6, 0, 4), 2), (10, (10, 0, 0), 4)], shares)
+    assert plan[10, (6, 4, 0)] == {"train": 0, "valid": 2, "test": 0} and plan[10, (6, 0, 4)] == {"train": 0, "valid": 0, "test": 2}
+    # without a price on deviation nothing moves
+    assert grouped_splits.allocate([(10, (10, 0, 0), 8)], shares, deviation=0.0)[10, (10, 0, 0)]["train"] == 8
 
 
 # ---------------------------------------------------------------- leaks
@@ -228,8 +287,8 @@ def test_near_items_need_three_terms(spark):
 
 
 def test_leaks_without_sending_the_vocabulary(spark, monkeypatch):
-    monkeypatch.setattr(leaks, "MAX_VOCABULARY", 1)
-    monkeypatch.setattr(leaks, "MAX_CANDIDATES", 0)
+    monkeypatch.setattr(leaks, "SENT_BYTES", -1)
+    monkeypatch.setattr(leaks, "HOT_TERM", 2)
     text = " ".join(f"x{k}" for k in range(20))
     documents = spark.createDataFrame([(1, text), (2, "y " + text[9:])], "doc_id bigint, text string")
     got = leaks.leaked_items(documents, spark.createDataFrame([(7, text)], "item_id bigint, text string"), 12)
