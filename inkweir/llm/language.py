@@ -2,8 +2,10 @@
 
 Sparse multinomial logistic regression on TF-IDF character n-grams (n = 1..4, hashed), trained with
 follow-the-regularised-leader and an elastic-net penalty on sentences of labelled documents, and
-calibrated by a temperature on held-out ones. The labels are partly wrong and documents mix languages,
-so the model is trained twice: a second time without the sentences that the first one contradicts.
+calibrated by a temperature on documents held out before any training. The labels are partly wrong and
+documents mix languages, so the model is trained again without the sentences that the first one
+contradicts, and the held-out labels, which stay as they are, are taken to be wrong at a rate that is
+estimated with the temperature.
 A further class takes what has no language (sham Latin). Capitalised words inside a sentence are
 masked, as names say little about the language around them.
 
@@ -24,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkweir.llm.common import hashed_sample
+from inkweir.llm.common import hashed_sample, word_hash
 from inkweir.llm.line_model import LATIN
 
 LANGUAGES = ["en", "de", "fr", "es", "pt", "nl"]
@@ -173,16 +175,19 @@ def train_ftrl(texts: list[bytes], labels: np.ndarray, classes: int, alpha: floa
 
 
 def calibrate(model: LanguageModel, texts: list[bytes], labels: np.ndarray) -> LanguageModel:
-    """Set the temperature by the likelihood of held-out labels."""
+    """Set the temperature by the likelihood of held-out labels, each of which may be wrong at one rate,
+    estimated too, and then name any class."""
     if len(texts):
         scores = model.scores(texts)
 
-        def loss(t: float) -> float:
+        def loss(at: tuple[float, float]) -> float:
+            t, wrong = at
             s = scores / t
-            s = s - s.max(axis=1, keepdims=True)
-            return float(np.mean(np.log(np.exp(s).sum(axis=1)) - s[np.arange(len(labels)), labels]))
+            p = np.exp(s - s.max(axis=1, keepdims=True))
+            own = p[np.arange(len(labels)), labels] / p.sum(axis=1)
+            return float(-np.mean(np.log((1 - wrong) * own + wrong / p.shape[1] + 1e-12)))
 
-        model.temperature = min(np.geomspace(0.05, 5, 60), key=loss)
+        model.temperature = min(((t, wrong) for t in np.geomspace(0.05, 5, 60) for wrong in (0.001, 0.003, 0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.3, 0.4)), key=loss)[0]
     return model
 
 
@@ -190,20 +195,37 @@ def _letters(s: str) -> int:
     return sum(map(len, _WORD.findall(s)))
 
 
-def sample_sentences(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, per_language: int = PER_LANGUAGE, seed: int = 5) -> tuple[list[bytes], np.ndarray]:
-    """Training sentences and labels: of at most ``sample_docs`` documents, chosen by a hash of their id,
-    at most ``per_language`` different sentences of each language. A sentence is labelled by most of the
-    documents that have it (names masked), so that furniture is not labelled by the language around it;
-    sham Latin is NONE."""
+@dataclass
+class Sample:
+    """Sentences with labels to train on, and those of documents held out."""
+
+    texts: list[bytes]
+    labels: np.ndarray
+    held_texts: list[bytes]
+    held_labels: np.ndarray
+
+
+def sample_sentences(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, per_language: int = PER_LANGUAGE, seed: int = 5) -> Sample:
+    """Sentences of at most ``sample_docs`` documents, chosen by a hash of their id. Every fifth document,
+    by another hash, is held out: its sentences keep its label, but such that stand in a document trained
+    on too are left out. Of the others there are at most ``per_language`` different sentences of each
+    language, labelled by most of the documents that have it (names masked), so that furniture is not
+    labelled by the language around it. Sham Latin is NONE."""
     told = documents.select("doc_id", label_code(F.col("lang")).alias("code"), "paragraphs").where(F.col("code").isin(LANGUAGES))
     picked = hashed_sample(told, "doc_id", sample_docs).toPandas()
     votes: dict[bytes, Counter] = defaultdict(Counter)
-    for code, paragraphs in zip(picked["code"], picked["paragraphs"]):
+    apart: dict[bytes, int] = {}
+    for doc, code, paragraphs in zip(picked["doc_id"], picked["code"], picked["paragraphs"]):
+        held = word_hash(f"held|{doc}") % 5 == 0
         for s in (s for p in paragraphs if p is not None for s in p if s) if paragraphs is not None else ():
             words = [w.lower() for w in _WORD.findall(s)]
             if sum(map(len, words)) >= 25:
                 sham = sum(w in LATIN for w in words) >= 0.6 * len(words)
-                votes[plain_letters(s)][NONE if sham else LANGUAGES.index(code)] += 1
+                label = NONE if sham else LANGUAGES.index(code)
+                if held:
+                    apart[plain_letters(s)] = label
+                else:
+                    votes[plain_letters(s)][label] += 1
     by: dict[int, list[bytes]] = {c: [] for c in range(NONE + 1)}
     for text in sorted(votes):
         (label, n), total = votes[text].most_common(1)[0], sum(votes[text].values())
@@ -217,25 +239,24 @@ def sample_sentences(documents: DataFrame, sample_docs: int = SAMPLE_DOCS, per_l
         chosen = [found[i] for i in keep for _ in range(min(6, sum(votes[found[i]].values()).bit_length()))]
         texts += chosen
         labels += [c] * len(chosen)
-    return texts, np.array(labels, dtype=np.int64)
+    unseen = sorted(t for t in apart if t not in votes)
+    return Sample(texts, np.array(labels, dtype=np.int64), unseen, np.array([apart[t] for t in unseen], dtype=np.int64))
 
 
-def train_language_model(texts: list[bytes], labels: np.ndarray, rounds: int = 2) -> LanguageModel:
-    """Train; take over confident contradictions, drop doubtful ones and train again, ``rounds`` times,
-    the last on four fifths; calibrate on the rest."""
+def train_language_model(sample: Sample, rounds: int = 2) -> LanguageModel:
+    """Train; take over confident contradictions, drop doubtful ones and train again, ``rounds`` times;
+    calibrate on the documents held out."""
+    texts, labels = sample.texts, sample.labels
     model = train_ftrl(texts, labels, NONE + 1)
     if not len(texts):
         return model
-    held = np.arange(len(texts)) % 5 == 4
     for k in range(rounds):
         p = model.probabilities(texts)
         best, sure = p.argmax(axis=1), p.max(axis=1)
         labels = np.where(sure > 0.8, best, labels)
         agreed = best == labels
-        if k == rounds - 1:
-            agreed &= ~held
         model = train_ftrl([t for t, m in zip(texts, agreed) if m], labels[agreed], NONE + 1, epochs=2 + k)
-    return calibrate(model, [t for t, m in zip(texts, held) if m], labels[held])
+    return calibrate(model, sample.held_texts, sample.held_labels)
 
 
 def sentence_languages(documents: DataFrame, model: LanguageModel) -> DataFrame:
@@ -275,14 +296,15 @@ def sentence_languages(documents: DataFrame, model: LanguageModel) -> DataFrame:
 
 def identify(documents: DataFrame) -> DataFrame:
     """``sentence_languages`` with a model trained on the documents' own labels."""
-    return sentence_languages(documents, train_language_model(*sample_sentences(documents)))
+    return sentence_languages(documents, train_language_model(sample_sentences(documents)))
 
 
 def document_languages(sentences: DataFrame) -> DataFrame:
     """Sentences to (doc_id, label, lang_code, confidence, n_languages): the language with most letters,
-    weighed by confidence, its share of that weight, and the number of languages with sentences of 40
-    letters. Documents without a sentence in any language are absent."""
+    weighed by confidence; the mean calibrated probability, over all letters of the document that are in
+    any language, of being in that one, as far as sentences name it; and the number of languages with
+    sentences of 40 letters. Documents without a sentence in any language are absent."""
     weight = F.sum(F.col("letters") * F.col("confidence"))
-    by = sentences.where("lang_code is not null").groupBy("doc_id", "label", "lang_code").agg(weight.alias("w"), F.count_if(F.col("letters") >= 40).alias("long"))
+    by = sentences.where("lang_code is not null").groupBy("doc_id", "label", "lang_code").agg(weight.alias("w"), F.sum("letters").alias("letters"), F.count_if(F.col("letters") >= 40).alias("long"))
     top = F.max_by("lang_code", F.struct("w", "lang_code"))
-    return by.groupBy("doc_id", "label").agg(top.alias("lang_code"), (F.max("w") / F.sum("w")).alias("confidence"), F.count_if(F.col("long") > 0).alias("n_languages"))
+    return by.groupBy("doc_id", "label").agg(top.alias("lang_code"), (F.max("w") / F.sum("letters")).alias("confidence"), F.count_if(F.col("long") > 0).alias("n_languages"))

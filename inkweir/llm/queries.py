@@ -208,6 +208,18 @@ def p6_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+@registry.query(
+    "p6_sentence_counts",
+    sql="""WITH p AS (SELECT doc_id, unnest(paragraphs) AS p FROM documents WHERE len(paragraphs) > 0), s AS (SELECT doc_id, unnest(p) AS s FROM p WHERE len(p) > 0)
+    SELECT doc_id, count(*) AS n_sentences, 0 AS n_strange FROM s WHERE s IS NOT NULL GROUP BY doc_id""",
+)
+def p6_sentence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each document its sentences, every one of which is classified once, and how many have a
+    confidence that is none or a language for text without letters."""
+    strange = ~F.col("confidence").between(0, 1) | (F.col("lang_code").isNotNull() & (F.col("letters") == 0))
+    return p6_sentences(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("n_sentences"), F.count_if(strange).cast("int").alias("n_strange"))
+
+
 @registry.query("p6_documents")
 def p6_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the language most of it is in, and a confidence."""
@@ -303,6 +315,20 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncated(table(spark, sf_dir, "documents")).select("doc_id").distinct()
 
 
+@registry.query("p10_reasons")
+def p10_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many cut documents each sign shows, by the combination of signs: the final trigram, a mark of
+    the cut, a length at which the site's texts pile up."""
+    return truncation.truncated(table(spark, sf_dir, "documents")).groupBy("by_gram", "by_mark", "by_limit").agg(F.count("*").alias("n_docs"))
+
+
+@registry.query("p10_sites", sql=r"SELECT CASE WHEN regexp_matches(canonical_url, '^[^,)/]+,[^,)/:]+') THEN " + _SITE.format("canonical_url") + " END AS site, count(DISTINCT doc_id) AS n_docs, 0 AS n_strange FROM documents GROUP BY 1")
+def p10_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each site its documents as ``p10_rates`` counts them, and whether its reasons add up."""
+    strange = (F.col("n_cut") != F.col("n_limit") + F.col("n_mark") + F.col("n_gram")) | (F.col("n_cut") > F.col("n_docs"))
+    return p10_rates(spark, sf_dir).select("site", "n_docs", F.when(strange, 1).otherwise(0).alias("n_strange"))
+
+
 @registry.query("p10_rates")
 def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each site: its documents, and how many of them were cut in which way."""
