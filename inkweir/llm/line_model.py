@@ -44,10 +44,10 @@ SCRIPT_PHRASES = [
     "javascript aktivieren", "activer javascript", "activez javascript", "habilite javascript", "active javascript", "ative o javascript", "schakel javascript in",
 ]
 FILLER_PHRASES = [
-    "lorem ipsum", "dummy text", "insert your text", "your text here", "headline goes here", "click to add", "body of the story in this box", "needs a lead paragraph", "placeholder entry", "for layout purposes",
-    "body copy to come", "caption tk", "blah blah", "asdf", "test test", "xxxx", "aaaa bbbb", "text text text", "sample text",
+    "lorem ipsum", "dummy text", "insert your text", "your text here", "text goes here", "headline goes here", "click to add", "click to edit", "placeholder text", "for layout purposes", "blah blah", "asdf", "test test", "xxxx",
+    "text text text", "sample text",
 ]
-FURNITURE_PHRASES = ["about the author:", " has written for ", "all rights reserved", "alle rechte vorbehalten", "tous droits reserves", "todos los derechos reservados", "todos os direitos reservados", "alle rechten voorbehouden"]
+FURNITURE_PHRASES = ["all rights reserved", "alle rechte vorbehalten", "tous droits reserves", "todos los derechos reservados", "todos os direitos reservados", "alle rechten voorbehouden"]
 LATIN = frozenset(
     "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea "
     "commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est "
@@ -266,14 +266,15 @@ class LineClassifier:
     def __call__(self, lines: list[str]) -> np.ndarray:
         return self.judge(lines)[0]
 
-    def judge(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The class of each line and its probability."""
+    def judge(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The class of each line, its probability, and that of prose."""
         if len(self.known) > 500_000:
             self.known.clear()
         place: dict[str, int] = {}
         index = np.array([place.setdefault(x, len(place)) for x in lines], dtype=np.int64)
         if not len(index):
-            return index, np.zeros(0, np.float32)
+            return index, np.zeros(0, np.float32), np.zeros(0, np.float32)
         different = list(place)
         told = [self.model.probabilities(*ngram_slots([line_tokens(x) for x in different[i : i + CHUNK]], self.known)) for i in range(0, len(different), CHUNK)]
-        return np.concatenate([t.argmax(axis=1) for t in told])[index], np.concatenate([t.max(axis=1) for t in told])[index]
+        p = np.concatenate(told)
+        return p.argmax(axis=1)[index], p.max(axis=1)[index], p[index, PROSE]
