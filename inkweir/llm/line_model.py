@@ -211,7 +211,8 @@ def document_counts(told: DataFrame, asked: pd.DataFrame) -> dict[tuple[int, str
 
 def sample_lines(documents: DataFrame, sample_docs: int = SAMPLE_DOCS) -> pd.DataFrame:
     """Lines of about ``sample_docs`` documents, chosen by a hash of their id: (site, doc_id, title,
-    para_no, sent, label), label the weak label or -1. Repetition is counted over all documents."""
+    para_no, sent, label), label the weak label or -1; attrs["docs"] has the (doc_id, site, title) of all of
+    them, those without lines too. Repetition is counted over all documents."""
     keys = F.transform(F.filter("paragraphs", lambda p: p.isNotNull()), lambda p: F.transform(p, lambda x: F.xxhash64(line_key(x))))
     told = documents.where("doc_id is not null").select("doc_id", site_of(F.col("canonical_url")).alias("site"), "title", "paragraphs", keys.alias("keys"))
     picked = hashed_sample(told, "doc_id", sample_docs).toPandas()
@@ -229,6 +230,7 @@ def sample_lines(documents: DataFrame, sample_docs: int = SAMPLE_DOCS) -> pd.Dat
     labels = [weak_label(r[-1], low, r[4], n[at], n[at[0], "*"]) for r, low, at in zip(rows, lows, places)]
     out = pd.DataFrame(rows, columns=["site", "doc_id", "title", "para_no", "around", "sent"])
     out["label"] = [-1 if x is None else x for x in labels]
+    out.attrs["docs"] = picked[["doc_id", "site", "title"]].drop_duplicates("doc_id").reset_index(drop=True)
     return out
 
 

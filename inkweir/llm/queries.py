@@ -79,12 +79,20 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.query("p3_clean")
 def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that remain, with the numbers of their lines by class."""
-    return junk.residue_documents(table(spark, sf_dir, "documents")).where("not residue").drop("residue", "placeholder")
+    return junk.residue_documents(table(spark, sf_dir, "documents")).where("not residue").drop("residue", "placeholder", "n_placeholder")
+
+
+@registry.query("p3_judged", sql="""SELECT doc_id, count(*) AS n_rows, CAST(any_value(n) AS BIGINT) AS n_lines FROM (SELECT doc_id, len(list_filter(flatten(list_filter(coalesce(paragraphs, []), lambda p: p IS NOT NULL)), lambda s: trim(s) <> '')) AS n FROM documents) GROUP BY doc_id""")
+def p3_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the rows it is judged in, and its lines, each of which has one class."""
+    told = junk.residue_documents(table(spark, sf_dir, "documents"))
+    n = F.col("n_prose") + F.col("n_furniture") + F.col("n_filler") + F.col("n_error") + F.col("n_script") + F.col("n_placeholder")
+    return told.select("doc_id", n.alias("n")).groupBy("doc_id").agg(F.count("*").alias("n_rows"), F.max("n").alias("n_lines"))
 
 
 @registry.query("p3_validation")
 def p3_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How the line model does on hosts it wasn't trained on, by class, against weak labels."""
+    """How the models do on hosts they weren't trained on: lines by class, and documents, against weak labels."""
     return spark.createDataFrame(junk.validate_on_unseen_hosts(table(spark, sf_dir, "documents")))
 
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -373,8 +374,8 @@ def test_repetition_is_counted_beyond_the_sample(spark):
 
 
 def test_line_model_holds_on_unseen_hosts(spark, news):
-    table = junk.validate_on_unseen_hosts(docs(spark, news)).set_index("line_class")
-    for c in ("prose", "furniture", "filler", "error"):
+    table = junk.validate_on_unseen_hosts(docs(spark, news)).set_index("judged")
+    for c in ("prose", "furniture", "filler", "error", "residue"):
         row = table.loc[c]
         assert row.n_right >= 0.95 * row.n_truth and row.n_right >= 0.95 * row.n_found
 
@@ -398,24 +399,54 @@ def test_main_body(spark, news):
 
 
 def test_stretches():
-    assert main_body.stretches(np.array([0, 5, 0, 5, 0, 0, 0, 0, 0, 0, 7.0]), 5) == [(1, 4), (10, 11)]
+    assert main_body.stretches(np.array([0, 50, 0, 50, 0, 0, 0, 0, 0, 0, 70.0]), 5) == [(1, 4), (10, 11)]
     assert main_body.stretches(np.zeros(0)) == []
-    assert list(main_body.keep_body(np.array([1.0, 0, 0, 0, 0, 0, 9.0]), whole=False, window=3)) == [False] * 6 + [True]
+    assert main_body.stretches(np.array([0, 9, 0, 0, 0, 0, 0, 0.0])) == []  # no surge
+    assert main_body.stretches(np.array([9, 9, 9.0])) == [(0, 3)]  # together one
+    assert main_body.stretches(np.array([40, 0, 40.0]), breaks=np.array([False, True, False])) == [(0, 1), (2, 3)]
+    assert list(main_body.keep_body(np.array([30.0, 0, 0, 0, 0, 0, 90.0]), whole=False, window=3)) == [False] * 6 + [True]
 
 
-def test_body_keeps_doubted_lines_between_surge_and_dive(spark):
-    model = line_model.LinearModel(np.zeros((line_model.SLOTS, 6), np.float32), np.array([2, 0, -9, -9, -9, -9], np.float32))
-    for word, weight in [("notice", 40), ("perhaps", 11)]:  # surely furniture; furniture, but not surely
+def test_surge_and_dive_decide_documents(spark):
+    model = line_model.LinearModel(np.zeros((line_model.SLOTS, 6), np.float32), np.array([3, 0, -9, -9, -9, -9], np.float32))
+    for word, weight in [("notice", 60), ("perhaps", 13)]:  # surely furniture; furniture, but not surely
         model.weights[line_model.ngram_slots([[word]], {})[0][0], line_model.FURNITURE] = weight
-    lines = ["a notice", "the bridge opened", "it perhaps closed", "one notice", "they went on", "it perhaps end", *["some notice"] * 5, "so perhaps not"]
-    body = [1, 2, 4, 5]
-    classes, sure = line_model.LineClassifier(model).judge(lines)
-    assert [c == line_model.PROSE for c in classes] == [i in (1, 4) for i in range(12)] and [p > line_model.SURE for p in sure[[0, 2, 3, 5, 11]]] == [True, False, True, False, False]
-    rows = [(1, "example,h)/1", "T", "en", "", [[x] for x in lines]), (2, "example,h)/2", "T", "en", "", [["so perhaps not"], []]), (3, "example,h)/3", "T", "en", "", [["the bridge opened"], ["it perhaps closed", "one notice"]])]
-    own = [(r["doc_id"], r["block_no"]) for r in main_body.document_bodies(docs(spark, rows), model).collect()]
-    assert sorted(own) == [(1, i) for i in body] + [(3, 0)]
-    pages = spark.createDataFrame([(1, "".join(f"<p>{x}</p>" for x in lines)), (2, "<p>so perhaps not"), (3, "<p>the bridge opened<p><a href=/>it perhaps closed</a>")], "html_id bigint, html string")
-    assert sorted((r["html_id"], r["block_no"]) for r in main_body.page_bodies(pages, model).collect()) == [(1, i) for i in body] + [(3, 0)]
+    long, short = "the old bridge was opened again after the long war in the north", "so it was"
+    lines = ["a notice", long, "it perhaps closed", "one notice", long, *["some notice"] * 6, short, *["some notice"] * 6, "so perhaps not"]
+    classes, sure, prose = line_model.LineClassifier(model).judge(lines)
+    assert [c == line_model.PROSE for c in classes] == [x in (long, short) for x in lines]
+    assert sure[0] > line_model.SURE > sure[2] and prose[1] > line_model.SURE
+    rows = [(1, "example,h)/1", "T", "en", "", [[x] for x in lines]), (2, "example,h)/2", "T", "en", "", [["so perhaps not"], []]), (3, "example,h)/3", "T", "en", "", [[long], [short]])]
+    own = sorted((r["doc_id"], r["block_no"]) for r in main_body.document_bodies(docs(spark, rows), model).collect())
+    # the doubted line between surge and dive stays; the short prose far from the text doesn't, beside it does
+    assert own == [(1, 1), (1, 2), (1, 4), (3, 0), (3, 1)]
+    pages = spark.createDataFrame([(1, "".join(f"<p>{x}</p>" for x in lines)), (2, "<p>so perhaps not"), (3, f"<p>{long}<p><a href=/>{long}</a><p>{short}")], "html_id bigint, html string")
+    assert sorted((r["html_id"], r["block_no"]) for r in main_body.page_bodies(pages, model).collect()) == [(1, 1), (1, 2), (1, 4), (3, 0)]
+
+
+def test_markup_is_stripped_in_one_pass():
+    assert main_body.visible("a<script>x</script>b<!-- c -->d<h1>e</h1>f<![CDATA[g]]>h") == "abd<p>f<p>h"
+    assert main_body.visible("a<button>b<button>c") == "a<button>b<button>c" and main_body.visible("a<!-- b <p>c") == "a"
+    began = time.time()
+    main_body.page_lines("<button>" * 200_000 + "<select" * 100_000 + "<!" * 100_000)
+    assert time.time() - began < 20
+
+
+def test_planted_residue_on_unseen_hosts(spark, news):
+    """Trained on some hosts, the models find what was planted on others, in words that were no label."""
+    known = [r for r in news if int(r[1].split(")")[0].split(",h")[1]) < 8]
+    judge = junk.train_judge(line_model.sample_lines(docs(spark, known)), docs(spark, known))
+    body = [[EN[0], EN[1]], [EN[2]]]
+    planted = [
+        (1, "example,x)/1", "How Mirlin lost the bridge", "en", "", [["Dear {{reader_name}}, welcome back."], *body]), (2, "example,y)/2", "502 Bad Gateway", "en", "", []), (3, "example,z)/3", "Page not found", "en", "", [["Home / News / Sport / Contact"]]),
+        (4, "example,x)/4", "How Tormo lost", "en", "", [["Consectetur adipiscing elit sed do eiusmod tempor."]]), (5, "example,y)/5", "Notes", "en", "", [["The document requested could not be found on this server at all."]]), (6, "example,z)/6", "{{title}}", "en", "", body),
+    ]
+    fine = [
+        (11, "example,x)/11", "How Mirlin lost the bridge", "en", "", body), (12, "example,y)/12", "How Kaldan left the bridge", "en", "", []), (13, "example,z)/13", "How Kaldan left the bridge", "en", "", [["Home / News / Sport / Contact"]]),
+        (14, "example,x)/14", "The museum", "en", "", [*body, ["Editors were told to write {{name}} for the reader, Mirlin said."]]),
+    ]
+    got = {r["doc_id"]: r["residue"] for r in junk.judge_documents(docs(spark, planted + fine), judge).collect()}
+    assert got == {r[0]: r[0] < 10 for r in planted + fine}
 
 
 # ---------------------------------------------------------------- languages
