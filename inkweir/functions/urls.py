@@ -57,3 +57,8 @@ def tidy_key(key: Column) -> Column:
 def byte_range(offset: Column, length: Column) -> Column:
     """The value of a range request for ``length`` bytes from ``offset``."""
     return F.concat(F.lit("bytes="), offset.cast("string"), F.lit("-"), (offset + length - 1).cast("string"))
+
+
+def effective_url(canonical_link: Column, url: Column) -> Column:
+    """The link by which a document calls itself, else the URL that cites it."""
+    return F.coalesce(F.nullif(canonical_link, F.lit("")), url)

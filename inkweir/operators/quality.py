@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from inkweir.operators.ordered import prefix_sums
@@ -45,6 +49,60 @@ def decision(rows: DataFrame, model: LogisticRegressionModel) -> DataFrame:
     return out.withColumn("decision", vector_to_array("rawPrediction")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
 
+def save_model(model: LogisticRegressionModel, path: str) -> None:
+    """Write a trained model, for other jobs."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> LogisticRegressionModel:
+    """A model that ``save_model`` wrote."""
+    return LogisticRegressionModel.load(path)
+
+
+def hold_out(rows: DataFrame, n: int, *keys: str, seed: str = "hold out") -> tuple[DataFrame, DataFrame]:
+    """(train, held): the first ``n`` rows in the order of a hash of their keys are held out, all others
+    are for training. Keys must be unique; fewer rows than ``n`` leave nothing to train on."""
+    order = F.md5(F.concat_ws("|", F.lit(seed), *(F.col(k).cast("string") for k in keys)))
+    chosen = cut(rows.select(*keys, order.alias("_h")).orderBy("_h", *keys).limit(n).drop("_h"))
+    return rows.join(chosen, list(keys), "left_anti"), rows.join(chosen, list(keys), "left_semi")
+
+
+def _tail(r: float, n: float) -> float | None:
+    """Two-sided probability of a correlation as far from 0 as ``r`` among ``n`` unrelated pairs: the
+    regularised incomplete beta function at 1 - r^2, by its continued fraction."""
+    if r is None or n is None or n < 3 or r != r:
+        return None
+    a, b, x = (n - 2) / 2, 0.5, max(0.0, 1 - r * r)
+    if x in (0.0, 1.0):
+        return x
+    swap = x > (a + 1) / (a + b + 2)
+    if swap:
+        a, b, x = b, a, 1 - x
+    c, d = 1.0, 1 / max(1e-300, 1 - (a + b) * x / (a + 1))
+    value = d
+    for m in range(1, 500):
+        for factor in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1 / ((1 + factor * d) or 1e-300)
+            c = (1 + factor / c) or 1e-300
+            value *= c * d
+        if abs(c * d - 1) < 1e-14:
+            break
+    front = math.exp(a * math.log(x) + b * math.log1p(-x) + math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)) / a
+    return 1 - front * value if swap else front * value
+
+
+@F.pandas_udf(T.DoubleType())
+def _tails(r: pd.Series, n: pd.Series) -> pd.Series:
+    return pd.Series([_tail(x, y) for x, y in zip(r, n)], dtype="float64")
+
+
+def correlation(rows: DataFrame, x: str, y: str) -> DataFrame:
+    """One row (r, n, p): Pearson's correlation of two columns, the pairs without a null, and the
+    two-sided probability of one as strong among unrelated values."""
+    both = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    return both.agg(F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("r"), F.count("*").alias("n")).withColumn("p", _tails("r", "n"))
+
+
 def linear_score(weights: dict[str, float], bias: float) -> Column:
     """The log-odds as an expression, for a model whose weights are known."""
     out = F.lit(float(bias))

@@ -45,19 +45,29 @@ def shared_keys(rows: DataFrame, split: str, keys: list[str]) -> DataFrame:
 
 def split_stats(instances: DataFrame) -> DataFrame:
     """instances(split_name, page_title, headings, documents, context, cloze) to one row per split and
-    one for all (null): counts and means with population deviations of lengths in white-space tokens."""
+    one for all (null): counts and means with population deviations of lengths in white-space tokens, and
+    of the context in sentences too. The cloze is the cited sentence, the first of its array."""
     total = lambda texts: F.aggregate(F.coalesce(texts, F.array().cast("array<string>")), F.lit(0), lambda a, s: a + token_count(s))
     sized = instances.select(
         "split_name",
         F.coalesce(F.size("documents"), F.lit(0)).alias("n_documents"),
         token_count(topic(F.col("page_title"), F.col("headings"))).alias("topic"),
         total(F.col("context")).alias("context"),
-        total(F.col("cloze")).alias("cloze"),
+        F.coalesce(F.size("context"), F.lit(0)).alias("context_sentences"),
+        token_count(F.get("cloze", F.lit(0))).alias("cloze"),
     )
-    lengths = [x for c in ("topic", "context", "cloze") for x in (F.round(F.avg(c), 6).alias(f"{c}_mean"), F.round(F.stddev_pop(c), 6).alias(f"{c}_std"))]
+    lengths = [x for c in ("topic", "context", "context_sentences", "cloze") for x in (F.round(F.avg(c), 6).alias(f"{c}_mean"), F.round(F.stddev_pop(c), 6).alias(f"{c}_std"))]
     return sized.rollup("split_name").agg(F.count("*").alias("n_instances"), F.count_if(F.col("n_documents") == 1).alias("n_single"), F.count_if(F.col("n_documents") != 1).alias("n_multi"), *lengths)
 
 
+def document_lengths(cited: DataFrame) -> DataFrame:
+    """cited(split_name, paragraphs), one row per citation of a document, to one row per split and one for
+    all (null): means and population deviations of the documents' white-space tokens and sentences."""
+    sized = cited.select("split_name", F.aggregate(F.coalesce(F.flatten("paragraphs"), F.array().cast("array<string>")), F.lit(0), lambda a, s: a + token_count(s)).alias("tokens"), F.coalesce(F.size(F.flatten("paragraphs")), F.lit(0)).alias("sentences"))
+    stats = [x for c in ("tokens", "sentences") for x in (F.round(F.avg(c), 6).alias(f"{c}_mean"), F.round(F.stddev_pop(c), 6).alias(f"{c}_std"))]
+    return sized.rollup("split_name").agg(F.count("*").alias("n_cited"), *stats)
+
+
 def document_use(citations: DataFrame) -> DataFrame:
     """citations(url, page_id) to one row: different documents, citations, documents used more than once
     and on more than one page. Null URLs are left out."""

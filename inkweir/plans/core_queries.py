@@ -18,6 +18,7 @@ registry = Registry()
 # ---------------------------------------------------------------- shared pieces
 
 _TIDY = r"regexp_replace(regexp_replace(regexp_replace(lower({0}), '#.*$', ''), '\?utm_.*$', ''), '/+$', '')"
+_SITE_SQL = "regexp_extract(canonical_url, '^([^,)/]+),([^,)/:]+)', 2) || '.' || regexp_extract(canonical_url, '^([^,)/]+),([^,)/:]+)', 1)"
 _D = "d AS (SELECT doc_id, lang, coalesce(array_to_string(flatten(paragraphs), ' '), '') AS body FROM documents)"
 _TOK = _D + r", tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(body), '[\p{L}\p{N}]+')) AS word FROM d)"
 _STATS = "st AS (SELECT count(*) AS n_documents, sum(len(regexp_extract_all(lower(body), '[\\p{L}\\p{N}]+')))::DOUBLE / count(*) AS avg_length FROM d)"
@@ -170,27 +171,12 @@ def headings_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "instances").select("inst_no", tx.heading_html(headings).alias("heading"), tx.topic(F.col("page_title"), F.col("headings")).alias("topic"))
 
 
-@registry.query(
-    "inline_citations",
-    sql=r"""WITH e AS (SELECT inst_no, unnest(cloze) AS s, unnest(range(len(cloze))) AS no FROM instances WHERE len(cloze) > 0)
-    SELECT inst_no, CAST(no + 1 AS INT) AS reference_id, CAST(sum(length(s)) OVER (PARTITION BY inst_no ORDER BY no) AS INT) AS char_offset FROM e WHERE NOT regexp_matches(s, '\[\d+\]')
-    AND inst_no NOT IN (SELECT inst_no FROM e WHERE regexp_matches(s, '\[\d+\]'))""",
-)
-def inline_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Citations ``[n]`` set behind each cited sentence, found again: number and offset in the bare text."""
-    marked = F.array_join(F.transform("cloze", lambda s, i: F.concat(s, F.lit("["), (i + 1).cast("string"), F.lit("]"))), "")
-    told = table(spark, sf_dir, "instances").where(F.size("cloze") > 0).where(~F.exists("cloze", lambda s: s.rlike(r"\[\d+\]"))).select("inst_no", marked.alias("text"))
-    pieces = told.select("inst_no", F.split("text", r"\[\d+\]").alias("bare"), F.regexp_extract_all("text", F.lit(r"\[(\d+)\]"), F.lit(1)).alias("ids"))
-    each = pieces.select("inst_no", "bare", F.posexplode("ids").alias("i", "id"))
-    return each.select("inst_no", F.col("id").cast("int").alias("reference_id"), F.aggregate(F.slice("bare", F.lit(1), F.col("i") + 1), F.lit(0), lambda a, s: a + F.length(s)).alias("char_offset"))
-
-
-@registry.query("citation_reinsert", sql="""SELECT inst_no, cloze[1][1:10] || '[1]' || cloze[1][11:15] || '[2][3]' || cloze[1][16:] AS text FROM instances WHERE length(cloze[1]) > 20""")
+@registry.query("citation_reinsert", sql="""SELECT inst_no, cloze[1][1:10] || '[1]' || cloze[1][11:15] || '[2][3]' || cloze[1][16:] AS text FROM instances""")
 def citation_reinsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Citations spliced into the first cited sentence at given offsets."""
     marks = F.array(*(F.struct(F.lit(i).alias("id"), F.lit(o).alias("offset")) for i, o in ((3, 15), (1, 10), (2, 15))))
     first = F.get("cloze", F.lit(0))
-    return table(spark, sf_dir, "instances").where(F.length(first) > 20).select("inst_no", tx.splice_citations(first, marks).alias("text"))
+    return table(spark, sf_dir, "instances").select("inst_no", tx.splice_citations(first, marks).alias("text"))
 
 
 @registry.query("hit_rows", sql="""SELECT inst_no, array_to_string(context, ' ') AS context, replace(coalesce(cloze[1], ''), chr(13), chr(10)) AS sentence FROM instances""")
@@ -312,14 +298,14 @@ def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.query(
     "reference_precedence",
     sql=r"""SELECT ref_no, nullif(coalesce(url, canonical_url), '') AS url, lower(trim(regexp_replace(ref_type, '\s+', ' ', 'g'))) AS ref_type,
-    CAST(coalesce(CASE WHEN regexp_matches(trim(date_raw), '^\d{4}-\d{2}-\d{2}$') THEN try_strptime(trim(date_raw), '%Y-%m-%d') END, CASE WHEN regexp_matches(trim(date_raw), '^\d{1,2} [A-Z][a-z]+ \d{4}$') THEN try_strptime(trim(date_raw), '%d %B %Y') END) AS DATE) AS read_date FROM refs WHERE ref_type IS NOT NULL""",
+    CAST(coalesce(CASE WHEN regexp_matches(trim(date_raw), '^\d{4}-\d{2}-\d{2}$') THEN try_strptime(trim(date_raw), '%Y-%m-%d') END, CASE WHEN regexp_matches(trim(date_raw), '^\d{1,2} [A-Z][a-z]+ \d{4}$') THEN try_strptime(trim(date_raw), '%d %B %Y') END) AS DATE) AS read_date FROM refs""",
 )
 def reference_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first URL present (empty counts as present), the type, and the first date format that parses."""
     raw = F.nullif(F.trim("date_raw"), F.lit(""))
     read = F.coalesce(F.try_to_timestamp(F.when(raw.rlike(r"^\d{4}-\d{2}-\d{2}$"), raw), F.lit("yyyy-MM-dd")), F.try_to_timestamp(F.when(raw.rlike(r"^\d{1,2} [A-Z][a-z]+ \d{4}$"), raw), F.lit("d MMMM yyyy")))
     kind = F.lower(F.trim(F.regexp_replace("ref_type", r"\s+", " ")))
-    return table(spark, sf_dir, "refs").where("ref_type is not null").select("ref_no", F.nullif(F.coalesce("url", "canonical_url"), F.lit("")).alias("url"), kind.alias("ref_type"), F.to_date(read).alias("read_date"))
+    return table(spark, sf_dir, "refs").select("ref_no", F.nullif(F.coalesce("url", "canonical_url"), F.lit("")).alias("url"), kind.alias("ref_type"), F.to_date(read).alias("read_date"))
 
 
 @registry.query(
@@ -638,9 +624,9 @@ _LEN = r"len(list_filter(regexp_split_to_array({0}, '\s+'), lambda x: x <> ''))"
 
 @registry.query(
     "split_stats",
-    sql=f"""WITH t AS (SELECT split_name, len(coalesce(documents, [])) AS nd, {_LEN.format("concat_ws(' ', page_title, nullif(array_to_string(headings, ' '), ''))")} AS topic, coalesce(list_sum(list_transform(context, lambda s: {_LEN.format('s')})), 0) AS context, coalesce(list_sum(list_transform(cloze, lambda s: {_LEN.format('s')})), 0) AS cloze FROM instances)
+    sql=f"""WITH t AS (SELECT split_name, len(coalesce(documents, [])) AS nd, {_LEN.format("concat_ws(' ', page_title, nullif(array_to_string(headings, ' '), ''))")} AS topic, coalesce(list_sum(list_transform(context, lambda s: {_LEN.format('s')})), 0) AS context, len(coalesce(context, [])) AS context_sentences, coalesce({_LEN.format('cloze[1]')}, 0) AS cloze FROM instances)
     SELECT split_name, count(*) AS n_instances, count(CASE WHEN nd = 1 THEN 1 END) AS n_single, count(CASE WHEN nd <> 1 THEN 1 END) AS n_multi, """
-    + ", ".join(f"round(avg({c}), 6) AS {c}_mean, round(stddev_pop({c}), 6) AS {c}_std" for c in ("topic", "context", "cloze"))
+    + ", ".join(f"round(avg({c}), 6) AS {c}_mean, round(stddev_pop({c}), 6) AS {c}_std" for c in ("topic", "context", "context_sentences", "cloze"))
     + " FROM t GROUP BY GROUPING SETS ((split_name), ())",
 )
 def split_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -648,6 +634,52 @@ def split_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.split_stats(table(spark, sf_dir, "instances"))
 
 
+@registry.query(
+    "document_lengths",
+    sql=f"""WITH {_LATEST}, {_CITED}, t AS (SELECT split_name, coalesce(list_sum(list_transform(flatten(paragraphs), lambda s: {_LEN.format('s')})), 0) AS tokens, len(flatten(paragraphs)) AS sentences FROM cited JOIN latest USING (k) JOIN documents USING (doc_id))
+    SELECT split_name, count(*) AS n_cited, """
+    + ", ".join(f"round(avg({c}), 6) AS {c}_mean, round(stddev_pop({c}), 6) AS {c}_std" for c in ("tokens", "sentences"))
+    + " FROM t GROUP BY GROUPING SETS ((split_name), ())",
+)
+def document_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths of the cited documents for each split and all together, each as often as it is cited."""
+    found = _cited(spark, sf_dir).join(_latest(spark, sf_dir), "k").join(table(spark, sf_dir, "documents").select("doc_id", "paragraphs"), "doc_id")
+    return validation.document_lengths(found.select("split_name", "paragraphs"))
+
+
+@registry.query(
+    "effective_urls",
+    sql=f"WITH {_LATEST}, c0 AS (SELECT inst_no, unnest(documents) AS x, unnest(range(len(documents))) AS doc_index FROM instances WHERE len(documents) > 0) SELECT inst_no, CAST(doc_index AS INT) AS doc_index, coalesce(nullif(canonical_link, ''), x.url) AS url FROM c0 JOIN latest ON k = {_TIDY.format('coalesce(x.canonical_url, x.url)')} JOIN documents d USING (doc_id)",
+)
+def effective_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The URL under which an instance names each document found: its canonical link, else the cited URL."""
+    cited = _cited(spark, sf_dir).join(_latest(spark, sf_dir), "k")
+    links = table(spark, sf_dir, "documents").select("doc_id", "canonical_link")
+    named = table(spark, sf_dir, "instances").select("inst_no", F.posexplode("documents").alias("doc_index", "x"))
+    return cited.join(links, "doc_id").join(named, ["inst_no", "doc_index"]).select("inst_no", "doc_index", urls.effective_url(F.col("canonical_link"), F.col("x.url")).alias("url"))
+
+
+@registry.query("hold_out", sql="SELECT ref_no, CASE WHEN row_number() OVER (ORDER BY md5('hold out|' || ref_no), ref_no) <= 100 THEN 'held' ELSE 'train' END AS part FROM refs")
+def hold_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All references, a hundred of them held out in a repeatable random order."""
+    train, held = quality.hold_out(table(spark, sf_dir, "refs").select("ref_no"), 100, "ref_no")
+    return train.withColumn("part", F.lit("train")).unionByName(held.withColumn("part", F.lit("held")))
+
+
+@registry.query("length_correlation", sql="SELECT round(corr(n_chars, len(paragraphs)), 6) AS r, count(*) AS n, count(*) >= 3 AS has_p FROM documents WHERE n_chars IS NOT NULL AND len(paragraphs) IS NOT NULL")
+def length_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the length of a text goes with its number of paragraphs."""
+    found = quality.correlation(table(spark, sf_dir, "documents").select("n_chars", F.when(F.col("paragraphs").isNotNull(), F.size("paragraphs")).alias("n")), "n_chars", "n")
+    return found.select(F.round("r", 6).alias("r"), "n", F.col("p").between(0, 1).alias("has_p"))
+
+
+@registry.query("bm25_top_k", sql=_BM25 + " SELECT inst_no, doc_id, score, CAST(r AS INT) AS place FROM (SELECT *, row_number() OVER (PARTITION BY inst_no ORDER BY score DESC, doc_id) AS r FROM scores) WHERE r <= 3")
+def bm25_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three most relevant cited documents of each instance."""
+    w = Window.partitionBy("inst_no").orderBy(F.desc("score"), "doc_id")
+    return _scores(spark, sf_dir).withColumn("place", F.row_number().over(w)).where("place <= 3")
+
+
 @registry.query("document_use", sql=f"WITH {_CITED}, u AS (SELECT k, count(*) AS n, count(DISTINCT page_id) AS p FROM cited GROUP BY k) SELECT count(*) AS n_documents, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_citations, count(CASE WHEN n > 1 THEN 1 END) AS n_reused, count(CASE WHEN p > 1 THEN 1 END) AS n_on_pages FROM u")
 def document_use(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often cited documents are used."""

@@ -65,12 +65,18 @@ def stored(df: DataFrame, *sort: str) -> DataFrame:
     than a checkpoint, and of a size that the planner knows. ``sort`` orders each file. The table goes
     with ``drop_stored``, at the latest when the driver ends."""
     spark = df.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    folder = scratch(spark)
     (df.sortWithinPartitions(*sort) if sort else df).write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A fresh path below the shared checkpoint folder, deleted with the tables of ``stored``."""
+    folder = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     if not _stored:
         atexit.register(drop_stored, spark)
     _stored.append(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return folder
 
 
 _stored: list[str] = []

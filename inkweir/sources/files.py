@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from inkweir import schemas
 
@@ -117,12 +116,11 @@ def read_word_frequencies(spark: SparkSession, path: str) -> tuple[DataFrame, Da
 def read_legacy_word_frequencies(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """A text file whose first two lines are the number of documents and their mean length, the others
     JSON rows {word, df}: (frequency, stats)."""
-    lines = spark.read.text(path, wholetext=False).where("trim(value) <> ''")
+    lines = _placed(spark.read.text(path)).where("trim(value) <> ''")
     words = lines.where("value like '{%'").select(F.from_json("value", schemas.WORD_FREQUENCY).alias("x")).select("x.*")
-    # a whole number of documents comes first; the mean, which the writer prints as a float, second
-    numbers = lines.where("value not like '{%'").select(F.trim("value").alias("v"))
-    stats = numbers.agg(F.max(F.when(~F.col("v").contains("."), F.col("v").try_cast("bigint"))).alias("n_documents"), F.max(F.when(F.col("v").contains("."), F.col("v").try_cast("double"))).alias("avg_length"))
-    return words, stats
+    # the two lines that are no JSON, in the order of the file
+    numbers = lines.where("value not like '{%'").agg(F.array_sort(F.collect_list(F.struct("_file", "_block", "_line", F.trim("value").alias("v")))).alias("n"))
+    return words, numbers.select(F.get("n", F.lit(0))["v"].try_cast("bigint").alias("n_documents"), F.get("n", F.lit(1))["v"].try_cast("double").alias("avg_length"))
 
 
 # ---------------------------------------------------------------- key store
@@ -142,11 +140,49 @@ def read_store(spark: SparkSession, path: str, keys: DataFrame | None = None) ->
     return found if keys is None else keys.select("key").distinct().join(found, "key", "left")
 
 
+def _placed(df: DataFrame) -> DataFrame:
+    """Rows of a file source with their place: file, block of the file, and line within the block."""
+    return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+
+
 def last_row_wins(df: DataFrame, key: str) -> DataFrame:
-    """One row per key of a multi-file source: that of the last file by name, then the last line of it."""
-    placed = df.withColumn("_f", F.col("_metadata.file_name")).withColumn("_l", F.monotonically_increasing_id())
-    w = Window.partitionBy(key).orderBy(F.desc("_f"), F.desc("_l"))
-    return placed.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_f", "_l", "_r")
+    """One row per key of a multi-file source: that of the last file by path, then the last line of it. A
+    maximum over structs, combined before the shuffle, however often a key returns."""
+    rest = [c for c in df.columns if c != key]
+    top = F.max_by(F.struct(*rest), F.struct("_file", "_block", "_line"))
+    return _placed(df).groupBy(key).agg(top.alias("_t")).select(key, "_t.*").select(*df.columns)
+
+
+def read_views(spark: SparkSession, path: str) -> DataFrame:
+    """Views of pages in JSON lines; of several rows of a page the last one counts."""
+    return last_row_wins(read_jsonl(spark, path, schemas.VIEWS), "page_id")
+
+
+def read_category_pages(spark: SparkSession, path: str, category: str) -> DataFrame:
+    """(page_id) of the pages that have a category, from JSON lines of all pages' categories."""
+    return read_jsonl(spark, path, schemas.CATEGORIES).where(F.array_contains("categories", category)).select("page_id").distinct()
+
+
+def read_config(spark: SparkSession, path: str) -> dict:
+    """A JSON document of parameters."""
+    import json
+
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def fetch_file(url: str, path: str) -> bool:
+    """Fetch a file unless it is there already; returns whether it was fetched. A broken transfer leaves
+    nothing behind."""
+    import os
+    import shutil
+    import urllib.request
+
+    if os.path.exists(path):
+        return False
+    with urllib.request.urlopen(url, timeout=60) as source, open(path + ".part", "wb") as target:
+        shutil.copyfileobj(source, target)
+    os.replace(path + ".part", path)
+    return True
 
 
 def write_buckets(bucketed: DataFrame, path: str, label: str = "label") -> None:

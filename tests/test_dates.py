@@ -98,3 +98,15 @@ def test_normalised(spark):
 
 def test_nothing_to_normalise(spark):
     assert rows(spark, []) == {}
+
+
+def test_clocks_of_all_years(spark):
+    rows = [("a.example", "1850-07-01 12:00"), ("a.example", "1890-07-01 12:00"), ("a.example", "2100-07-01 12:00"), ("a.example", "2105-01-15 12:00"), ("a.example", "2500-03-14 02:30"), ("a.example", "2040-07-01 12:00")]
+    dated = spark.createDataFrame([("document", i, s, r) for i, (s, r) in enumerate(rows)], "rec_kind string, rec_id bigint, site string, raw string")
+    sites = spark.createDataFrame([("a.example", "America/New_York")], "source string, time_zone string")
+    from inkweir.operators.timestamps import normalise_timestamps
+
+    got = {r["rec_id"]: (r["norm_date"], r["status"]) for r in normalise_timestamps(dated, sites).collect()}
+    assert got[0] == ("1850-07-01T16:56:02Z", "direct") and got[1] == ("1890-07-01T17:00:00Z", "direct")
+    assert got[2] == ("2100-07-01T16:00:00Z", "direct") and got[3] == ("2105-01-15T17:00:00Z", "direct") and got[5] == ("2040-07-01T16:00:00Z", "direct")
+    assert got[4] == ("2500-03-14T07:30:00Z", "nonexistent")  # the second Sunday of March

@@ -168,3 +168,70 @@ def test_rules_and_shared_keys(spark):
     assert all(r["violations"] == 0 for r in validation.rule_violations(rows.where("false")).collect())
     shared = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), ("c", None), ("a", None)], "split string, page bigint")
     assert [tuple(r) for r in validation.shared_keys(shared, "split", ["page"]).collect()] == [("page", "a", "b", 1)]
+
+
+def test_urls_that_are_not_scraped(spark):
+    from inkweir.functions import urls
+
+    told = {
+        "https://books.google.co.in/books?id=1": False, "http://www.youtube.com/watch": False, "http://books.google.com/": False, "http://twitter.com/x": True, "http://a.example/x.gif": True, "http://a.example/x.docx": False,
+        "http://a.example/x.pptx": False, "http://a.example/x.xlsx": False, "http://a.example/x.PDF": True, "http://m.youtube.com/": True, "a.example/x": False,
+    }
+    rows = spark.createDataFrame([(u,) for u in told], "u string").select("u", urls.is_scrapable(F.col("u")).alias("s")).collect()
+    assert {r["u"]: r["s"] for r in rows} == told
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from inkweir import session
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    made = []
+    at = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: made[-1] if made else None, getConf=lambda: conf, setCheckpointDir=made.append)
+    cluster = SimpleNamespace(sparkContext=at, conf=conf)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(cluster)
+    at.master = "local-cluster[3,4,6144]"
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(cluster)
+    cluster.conf = SimpleNamespace(get=lambda k, d=None: "hdfs://shared/x")
+    assert session.ensure_checkpoint_dir(cluster) == "hdfs://shared/x"
+
+
+def test_hot_nodes_are_joined_in_parts(spark, monkeypatch):
+    from inkweir.operators import graph
+
+    monkeypatch.setattr(graph, "HOT_DEGREE", 5)
+    star = [(1, k) for k in range(100, 300)] + [(k, k + 1000) for k in range(100, 200)] + [(7, 8), (8, 9), (50, 50)]
+    got = {r["node"]: r["component"] for r in graph.connected_components(spark.createDataFrame(star, "u bigint, v bigint")).collect()}
+    assert got == {1: 1} | {k: 1 for k in range(100, 300)} | {k + 1000: 1 for k in range(100, 200)} | {7: 7, 8: 7, 9: 7, 50: 50}
+
+
+def test_quantiles_equal_numpy(spark):
+    import numpy as np
+
+    from inkweir.operators import ranking
+
+    values = [3.0, 1.0, 1.0, 2.5, 9.0, 4.0, 4.0, 4.0, -1.0, 0.5, 7.0]
+    row = ranking.score_cuts(spark.createDataFrame([(v,) for v in [*values, None]], "score double")).first()
+    assert (row["low"], row["high"]) == (-1.0, 9.0) and np.allclose(row["cuts"], np.quantile(values, np.arange(1, 10) / 10))
+    assert tuple(ranking.score_cuts(spark.createDataFrame([], "score double")).first()) == (None, None, None)
+    assert ranking.score_cuts(spark.createDataFrame([(2.0,)], "score double")).first()["cuts"] == [2.0] * 9
+
+
+def test_models_are_kept_and_rows_held_out(spark, tmp_path):
+    import random
+
+    from inkweir.operators import quality
+
+    random.seed(3)
+    rows = spark.createDataFrame([(k, *(random.random() + (k % 2) for _ in range(4)), k % 2) for k in range(300)], "k int, " + ", ".join(f"{f} double" for f in quality.FEATURES) + ", label int")
+    train, held = quality.hold_out(rows, 50, "k")
+    assert (train.count(), held.count(), train.join(held, "k").count()) == (250, 50, 0)
+    quality.save_model(quality.train(train), str(tmp_path / "m"))
+    scored = quality.decision(held, quality.load_model(str(tmp_path / "m")))
+    assert scored.where("(decision > 0) = (label = 1)").count() > 40
+    row = quality.correlation(spark.createDataFrame([(1.0, 2.0), (2.0, 1.0), (3.0, 4.0), (4.0, 3.0), (5.0, 6.0), (None, 1.0)], "x double, y double"), "x", "y").first()
+    assert (round(row["r"], 6), row["n"], round(row["p"], 6)) == (0.821995, 5, 0.087707)
+    assert quality.correlation(rows.where("false"), "k", "label").first()["p"] is None

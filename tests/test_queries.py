@@ -3,11 +3,11 @@
 import pytest
 from oracle import DATA, differences
 
-from inkweir.plans import core_queries, time_queries
+from inkweir.plans import core_queries, edge_queries, time_queries
 
 pytestmark = pytest.mark.skipif(not __import__("os").path.isdir(DATA), reason="no test tables here")
-QUERIES = core_queries.registry.queries | time_queries.registry.queries
-ORACLES = core_queries.registry.oracles | time_queries.registry.oracles
+QUERIES = core_queries.registry.queries | edge_queries.registry.queries | time_queries.registry.queries
+ORACLES = core_queries.registry.oracles | edge_queries.registry.oracles | time_queries.registry.oracles
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -78,9 +78,52 @@ def test_captures(spark, tmp_path):
     record = b"WARC/1.0\r\nx: y\r\n\r\nHTTP/1.1 200 OK\r\n\r\n<p>h\xc3\xa9</p>\r\n\r\n"
     packed = gzip.compress(record)
     (tmp_path / "w.gz").write_bytes(b"junk" + packed)
-    (tmp_path / "loc.json").write_text("\n".join(json.dumps({"canonical_url": k, "filename": f, "length": n, "offset": 4}) for k, f, n in (("a", "w.gz", len(packed)), ("b", "w.gz", 3), ("c", "none.gz", 9))))
-    got = {r["canonical_url"]: r["html"] for r in ranges.read_captures(spark, str(tmp_path / "loc.json"), f"file://{tmp_path}/", chunk="2").collect()}
-    assert got == {"a": "<p>hé</p>", "b": None, "c": None}
+    rows = [("a", "w.gz", len(packed), 4), ("b", "w.gz", 3, 4), ("c", "none.gz", 9, 4), ("d", None, 9, 4), ("e", "w.gz", None, None)]
+    locations = spark.createDataFrame(rows, "canonical_url string, filename string, length bigint, offset bigint")
+    got = {r["canonical_url"]: r["html"] for r in ranges.read_captures(locations, f"file://{tmp_path}/", qps=1000, tasks=2).collect()}
+    assert got == {"a": "<p>hé</p>", "b": None, "c": None, "d": None, "e": None}
+    assert ranges.read_captures(locations.where("false"), f"file://{tmp_path}/").count() == 0
+    assert tuple(ranges.capture_stats(ranges.read_captures(locations, f"file://{tmp_path}/"), 2.0).first()) == (5, 1, 20.0, 2.5)
+
+
+def test_captures_written_and_read(spark, tmp_path):
+    pages = spark.createDataFrame([("a", "<p>é"), ("b", ""), ("c", None), ("d", "x" * 100_000)], "canonical_url string, html string")
+    locations = spark.createDataFrame(ranges.write_captures(pages, f"file://{tmp_path}/out").collect())
+    got = {r["canonical_url"]: r["html"] for r in ranges.read_captures(locations, f"file://{tmp_path}/out/").collect()}
+    assert got == {"a": "<p>é", "b": "", "d": "x" * 100_000}
+
+
+def test_page_views_and_files_fetched_once(spark, tmp_path):
+    for title, answer in (("A%2FB", '{"items": [{"views": 3}, {"views": 4}]}'), ("Bad", "not json")):
+        (tmp_path / title / "monthly" / "1").mkdir(parents=True)
+        (tmp_path / title / "monthly" / "1" / "2").write_text(answer)
+    (tmp_path / "A%2FB").rename(tmp_path / "A%2FB_")
+    (tmp_path / "A").mkdir()
+    (tmp_path / "A%2FB_").rename(tmp_path / "A" / "B")
+    pages = spark.createDataFrame([("A/B", 1), ("A/B", 1), ("Bad", 2), ("None", 3), (None, 4)], "page_title string, page_id bigint")
+    assert [tuple(r) for r in ranges.fetch_page_views(pages, f"file://{tmp_path}", 0, "1", "2").collect()] == [("A/B", 1, 7)]
+    source = (tmp_path / "x.txt")
+    source.write_text("hello")
+    assert files.fetch_file(f"file://{source}", str(tmp_path / "y.txt")) and not files.fetch_file("file:///nowhere", str(tmp_path / "y.txt"))
+    (tmp_path / "c.json").write_text('{"data_dir":\n "d"}')
+    assert files.read_config(spark, str(tmp_path / "c.json")) == {"data_dir": "d"}
+
+
+def test_last_line_of_the_last_file_wins(spark, tmp_path):
+    line = lambda k, v: json.dumps({"page_id": k, "page_title": "t", "views": v}) + "\n"
+    (tmp_path / "views-1.jsonl").write_text("".join(line(k, k) for k in range(2000)) + line(5, 100))
+    (tmp_path / "views-2.jsonl").write_text(line(7, 1) + "".join(line(9, v) for v in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")  # several splits a file
+    try:
+        got = {r["page_id"]: r["views"] for r in files.read_views(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {k: k for k in range(2000)} | {5: 100, 7: 1, 9: 2999}
+
+
+def test_whole_mean_length_of_a_frequency_file(spark, tmp_path):
+    (tmp_path / "df.txt").write_text('30\n2\n{"word": "a", "df": 2}\n')
+    assert tuple(files.read_legacy_word_frequencies(spark, str(tmp_path / "df.txt"))[1].first()) == (30, 2.0)
 
 
 def test_rate_limit_and_budget():
@@ -133,3 +176,17 @@ def test_streams(spark, tmp_path):
     assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "o2")).collect()) == ["u", "v"]
     filters.run_once(filters.captures_per_window(captures), str(tmp_path / "o3"), str(tmp_path / "c3"))
     assert spark.read.parquet(str(tmp_path / "o3")).where("n = 2").count() == 1
+
+
+def test_rendered_articles(spark):
+    from inkweir.operators import articles
+
+    parsed = spark.createDataFrame([(markup.parse_article("T", 1, ARTICLE) | {"page_id": 1})], schemas.ARTICLES)
+    known = spark.createDataFrame([("http://v",), (None,)], "url string")
+    row = articles.rendered(parsed, known).first()
+    assert row["html"] == "<p>First. Lead sentence.[1] More</p>\n<h1>One</h1>\n<p>Text a. Text b.[2]</p>\n<h1>Two</h1>\n<p>last</p>" and row["saved"] == []
+    cites = ARTICLE.replace("[2] trailing", "[4]")
+    parsed = spark.createDataFrame([markup.parse_article("T", 1, cites)], schemas.ARTICLES)
+    row = articles.rendered(parsed, known).first()
+    assert 'Text b.<a href="4.json">[4]</a></p>' in row["html"] and row["saved"] == [4]
+    assert articles.resolvable(parsed, known).count() == 1 and articles.resolvable(parsed, known.where("url is null")).count() == 0
