@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -70,15 +72,30 @@ def flat_text(paragraphs: Column) -> Column:
     return F.array_join(F.flatten(paragraphs), " ")
 
 
-_ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-_PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+
+def _accented() -> tuple[str, str]:
+    """Latin letters with marks, and the plain letters under them, by their decomposition."""
+    pairs = [(chr(c), unicodedata.normalize("NFKD", chr(c))) for r in (range(0xC0, 0x250), range(0x1E00, 0x1F00)) for c in r]
+    kept = [(a, b[0]) for a, b in pairs if b != a and b[0].isascii() and b[0].isalpha() and all(unicodedata.combining(x) for x in b[1:])]
+    return "".join(a for a, _ in kept), "".join(b for _, b in kept)
+
+
+_ACCENTED, _PLAIN = _accented()
+# Letters without a decomposition, ligatures and marks, spelt out.
+SPELT_OUT = {
+    "ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "þ": "th", "Þ": "Th", "ł": "l", "Ł": "L", "ı": "i",
+    "«": "<<", "»": ">>", "“": '"', "”": '"', "„": '"', "’": "'", "‘": "'", "–": "-", "—": "-", "…": "...", "·": "*",
+}
 
 
 def transliterate(text: Column) -> Column:
-    """Latin-1 letters without their accents; sharp s, ligatures and quotes spelt out."""
-    out = F.translate(text, _ACCENTED, _PLAIN)
-    for a, b in (("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("ø", "o"), ("Ø", "O"), ("œ", "oe"), ("«", "<<"), ("»", ">>"), ("·", "*")):
-        out = F.replace(out, F.lit(a), F.lit(b))
+    """Latin letters without their marks; sharp s, ligatures, quotes and dashes spelt out. Other scripts
+    stay."""
+    short = {a: b for a, b in SPELT_OUT.items() if len(b) == 1}
+    out = F.translate(text, _ACCENTED + "".join(short), _PLAIN + "".join(short.values()))
+    for a, b in SPELT_OUT.items():
+        if len(b) > 1:
+            out = F.replace(out, F.lit(a), F.lit(b))
     return out
 
 

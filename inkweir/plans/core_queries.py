@@ -192,7 +192,12 @@ def hit_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where(F.size("paragraphs") > 0).select("doc_id", html.alias("html"))
 
 
-@registry.query("transliterated", sql="""SELECT doc_id, translate(replace(replace(replace(replace(replace(replace(replace(replace(replace(title, 'ß', 'ss'), 'æ', 'ae'), 'Æ', 'AE'), 'ø', 'o'), 'Ø', 'O'), 'œ', 'oe'), '«', '<<'), '»', '>>'), '·', '*'), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ', 'aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY') AS title FROM documents WHERE title IS NOT NULL""")
+_SPELT = "strip_accents(title)"
+for _a, _b in (("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("ø", "o"), ("Ø", "O"), ("œ", "oe"), ("Œ", "OE"), ("«", "<<"), ("»", ">>"), ("·", "*"), ("“", '"'), ("”", '"'), ("„", '"'), ("’", "''"), ("‘", "''"), ("–", "-"), ("—", "-"), ("…", "...")):
+    _SPELT = f"replace({_SPELT}, '{_a}', '{_b}')"
+
+
+@registry.query("transliterated", sql=f"SELECT doc_id, {_SPELT} AS title FROM documents WHERE title IS NOT NULL")
 def transliterated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles in plain letters."""
     return table(spark, sf_dir, "documents").where("title is not null").select("doc_id", tx.transliterate(F.col("title")).alias("title"))
