@@ -41,3 +41,23 @@ def prefix_sums(df: DataFrame, order: list[str], partitions: int | None = None,
 def ordinals(df: DataFrame, order: list[str], name: str = "ordinal") -> DataFrame:
     """``df`` with the 0-based place of each row in the global order."""
     return prefix_sums(df, order, **{name: F.lit(1).cast("bigint")}).withColumn(name, F.col(name) - 1)
+
+
+def runs(df: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """df(key, order, value) to its runs (key, run, n, first): maximal stretches of rows of a key with the
+    same value, in the order of ``order``, which must be unique; run counts from 1, or from 0 if the
+    first value is null, n is the number of rows and first their least ``order``.
+
+    Rows of one key are never gathered: each row learns of the one before it by its place in the global
+    order, and a running sum numbers the runs, which are counted before they meet in their key's window.
+    """
+    placed = cut(ordinals(df.select(key, order, value), [key, order], "_o"))
+    before = placed.select((F.col("_o") + 1).alias("_o"), F.col(key).alias("_key"), F.col(value).alias("_value"), F.lit(True).alias("_has"))
+    told = placed.join(before, "_o", "left")
+    inside = F.coalesce("_has", F.lit(False)) & F.col("_key").eqNullSafe(F.col(key))
+    starts = F.when(F.when(inside, ~F.col(value).eqNullSafe(F.col("_value"))).otherwise(F.col(value).isNotNull()), 1).otherwise(0)
+    marked = told.select(key, order, starts.cast("bigint").alias("_starts"), (~inside).alias("_opens"))
+    summed = prefix_sums(marked, [key, order], _run=F.col("_starts") + F.col("_opens").cast("bigint"))
+    counted = summed.groupBy(key, "_run").agg(F.count("*").alias("n"), F.min(order).alias("first"), F.max(F.when(F.col("_opens"), F.col("_starts"))).alias("_first"))
+    w = Window.partitionBy(key).orderBy("_run")
+    return counted.select(key, (F.row_number().over(w) - 1 + F.max("_first").over(w)).cast("bigint").alias("run"), "n", "first")

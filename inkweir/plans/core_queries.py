@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from inkweir.functions import text as tx
 from inkweir.functions import urls
 from inkweir.operators import cloze, crawl, graph, quality, ranking, validation
+from inkweir.operators.ordered import runs
 from inkweir.operators.timestamps import site_of
 from inkweir.plans.registry import Registry
 from inkweir.session import cut, table
@@ -716,9 +717,5 @@ def html_body_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def section_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of instances under one heading, page by page in order of their number."""
-    w = Window.partitionBy("page_id").orderBy("inst_no")
     rows = table(spark, sf_dir, "instances").where("page_id is not null").select("inst_no", "page_id", F.get("headings", F.lit(0)).alias("h"))
-    first = F.row_number().over(w) == 1
-    starts = (first & F.col("h").isNotNull()) | (~first & ~F.col("h").eqNullSafe(F.lag("h").over(w)))
-    marked = rows.withColumn("starts", F.when(starts, 1).otherwise(0))
-    return marked.withColumn("section", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).groupBy("page_id", "section").agg(F.count("*").alias("n"), F.min("inst_no").alias("first_no"))
+    return runs(rows, "page_id", "inst_no", "h").select("page_id", F.col("run").alias("section"), "n", F.col("first").alias("first_no"))

@@ -235,3 +235,12 @@ def test_models_are_kept_and_rows_held_out(spark, tmp_path):
     row = quality.correlation(spark.createDataFrame([(1.0, 2.0), (2.0, 1.0), (3.0, 4.0), (4.0, 3.0), (5.0, 6.0), (None, 1.0)], "x double, y double"), "x", "y").first()
     assert (round(row["r"], 6), row["n"], round(row["p"], 6)) == (0.821995, 5, 0.087707)
     assert quality.correlation(rows.where("false"), "k", "label").first()["p"] is None
+
+
+def test_runs_within_and_across_keys(spark):
+    from inkweir.operators.ordered import runs
+
+    rows = [(1, k, v) for k, v in enumerate([None, None, "a", "a", "b", None, "b"])] + [(2, 100 + k, v) for k, v in enumerate("bbaab")] + [(3, 200, None)]
+    got = sorted(tuple(r) for r in runs(spark.createDataFrame(rows, "k int, o bigint, v string"), "k", "o", "v").collect())
+    assert got == [(1, 0, 2, 0), (1, 1, 2, 2), (1, 2, 1, 4), (1, 3, 1, 5), (1, 4, 1, 6), (2, 1, 2, 100), (2, 2, 2, 102), (2, 3, 1, 104), (3, 0, 1, 200)]
+    assert runs(spark.createDataFrame([], "k int, o bigint, v string"), "k", "o", "v").count() == 0
