@@ -104,7 +104,7 @@ def rarest_terms(terms: DataFrame, frequency: DataFrame, run: int, n: int = TERM
 
 
 def _sent(rows: DataFrame, bytes_a_row: int) -> bool:
-    """Whether all of a table, of rows of a fixed size, may be sent to every task."""
+    """Whether all of a table, of rows of a fixed size as they stand in a hash table, may be sent to every task."""
     return rows.count() * bytes_a_row <= SENT_BYTES
 
 
@@ -113,12 +113,12 @@ def _hits(index: DataFrame, runs: DataFrame) -> DataFrame:
     place in the item."""
     keys = runs.select("item_id", F.explode("keys").alias("k")).select("item_id", F.col("k.pos").alias("at"), F.col("k.term").alias("term"), F.col("k.df").alias("df")).distinct()
     keys = cut(keys)
-    if _sent(keys, 40):
+    if _sent(keys, 112):
         met = index.join(F.broadcast(keys), "term")
     else:
         # the postings of a frequent term are spread over parts, and its keys stand in each of them
         hot = keys.where(F.col("df") >= HOT_TERM).select("term", F.lit(True).alias("hot")).distinct()
-        names = F.broadcast(hot) if _sent(hot, 16) else hot
+        names = F.broadcast(hot) if _sent(hot, 80) else hot
         spread = index.join(names, "term", "left").withColumn("part", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int")).otherwise(0))
         met = spread.join(keys.withColumn("part", F.explode(F.sequence(F.lit(0), F.when(F.col("df") >= HOT_TERM, PARTS - 1).otherwise(0)))), ["term", "part"])
     return met.select("doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift"), "at")
@@ -130,7 +130,7 @@ def _meeting(hits: DataFrame, runs: DataFrame, place: str, run: int) -> DataFram
     keys' own offsets collected and compared."""
     least = min(TERMS, run)
     enough = cut(hits.groupBy("doc_id", "item_id", place).agg(F.count("*").alias("n")).where(F.col("n") >= least).drop("n"))
-    kept = hits.join(F.broadcast(enough) if _sent(enough, 40) else enough, ["doc_id", "item_id", place], "left_semi")
+    kept = hits.join(F.broadcast(enough) if _sent(enough, 112) else enough, ["doc_id", "item_id", place], "left_semi")
     found = kept.groupBy("doc_id", "item_id", place).agg(F.collect_set("at").alias("at"))
     needed = runs.groupBy("item_id").agg(F.collect_set("keys.pos").alias("needed"))
     met = found.where(F.size("at") >= least).join(needed, "item_id")
@@ -169,7 +169,7 @@ def leaked_items(documents: DataFrame, items: DataFrame, run: int = 12) -> DataF
     pairs = cut(met.groupBy("doc_id", "item_id").agg(F.collect_set("shift").alias("shifts")))
     # the texts of the few candidates are picked where they lie
     ids = pairs.select("doc_id").distinct()
-    texts = documents.select("doc_id", "text").where("text is not null").join(F.broadcast(ids) if _sent(ids, 16) else ids, "doc_id", "left_semi")
+    texts = documents.select("doc_id", "text").where("text is not null").join(F.broadcast(ids) if _sent(ids, 80) else ids, "doc_id", "left_semi")
     texts = texts.join(pairs, "doc_id").join(items.select("item_id", F.col("text").alias("item")), "item_id")
     checked = texts.select("doc_id", "item_id", _run_on_diagonals("text", "item", "shifts").alias("longest"))
     return checked.where(F.col("longest") >= run).groupBy("doc_id", "item_id").agg(F.max("longest").alias("longest"))

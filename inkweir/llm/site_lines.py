@@ -27,7 +27,7 @@ from inkweir.session import cut, stored
 
 WILDCARD = "<*>"
 DEPTH = 3
-#: Bytes up to which a table of fixed-size rows is sent to every task.
+#: Bytes up to which a table of fixed-size rows, as they stand in a hash table, is sent to every task.
 SENT_BYTES = 64 << 20
 #: Rows of one leaf or line from which they are joined in parts, and the number of parts.
 HOT_ROWS, PARTS = 1_000_000, 64
@@ -47,7 +47,7 @@ def _joined(many: DataFrame, few: DataFrame, key: str, bytes_a_row: int | None,
     if bytes_a_row and few.count() * bytes_a_row <= SENT_BYTES:
         return many.join(F.broadcast(few), key)
     hot = few.where(F.col("rows") >= HOT_ROWS).select(key, F.lit(True).alias("_hot"))
-    names = F.broadcast(hot) if hot.count() * 16 <= SENT_BYTES else hot
+    names = F.broadcast(hot) if hot.count() * 80 <= SENT_BYTES else hot
     parted = many.join(names, key, "left").withColumn("_part", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(PARTS)).cast("int")).otherwise(0))
     copies = few.withColumn("_part", F.explode(F.sequence(F.lit(0), F.when(F.col("rows") >= HOT_ROWS, PARTS - 1).otherwise(0))))
     return parted.join(copies, [key, "_part"]).drop("_part", "_hot")
@@ -71,9 +71,9 @@ def line_templates(documents: DataFrame, least: int = 5, share: float = 0.05, de
     wanted = docs.groupBy("site").agg(F.count_distinct("doc_id").alias("site_docs")).withColumn("needed", F.greatest(F.lit(least), F.ceil(F.col("site_docs") * F.lit(share) - F.lit(1e-9))))
     leaves = cut(lines.groupBy("site", "leaf").agg(F.count("*").alias("rows")).join(wanted, "site").where("rows >= needed").select("leaf", "rows", "needed", "site_docs"))
     key = [F.xxhash64("site", "line").alias("line_id"), F.xxhash64("line", "site").alias("line_check")]
-    hot = stored(_joined(lines, leaves.select("leaf", "rows"), "leaf", 32, "line").select("doc_id", "para_no", "sent_no", "site", "leaf", "line", *key))
+    hot = stored(_joined(lines, leaves.select("leaf", "rows"), "leaf", 96, "line").select("doc_id", "para_no", "sent_no", "site", "leaf", "line", *key))
     unique = stored(hot.groupBy("site", "leaf", "line", "line_id", "line_check").agg(F.count("*").alias("n")))
-    tokens = _joined(unique.select("leaf", "n", F.posexplode(F.split("line", " ")).alias("pos", "token")), leaves.select("leaf", "rows", "needed"), "leaf", 40, "token")
+    tokens = _joined(unique.select("leaf", "n", F.posexplode(F.split("line", " ")).alias("pos", "token")), leaves.select("leaf", "rows", "needed"), "leaf", 112, "token")
     slots = tokens.groupBy("leaf", "rows", "needed", "pos", "token").agg(F.sum("n").alias("n")).where("n >= needed")
     frequent = slots.groupBy("leaf", "rows").agg(F.collect_list(F.concat_ws(" ", "pos", "token")).alias("frequent"))
     every = leaves.join(frequent, ["leaf", "rows"], "left").select("leaf", "rows", "needed", "site_docs", F.coalesce("frequent", F.array().cast("array<string>")).alias("frequent"))
@@ -86,12 +86,12 @@ def line_templates(documents: DataFrame, least: int = 5, share: float = 0.05, de
     text = F.array_join(F.transform(F.array_sort(F.concat("kept", F.transform("open_at", lambda i: F.struct(i.alias("pos"), F.lit(WILDCARD).alias("token"))))), lambda p: p["token"]), " ")
     parsed = stored(parsed.withColumn("template", text).select("line_id", "line_check", F.col("n").alias("rows"), "site", "needed", "site_docs", "template", F.size("open_at").alias("slots"), F.size(F.split("template", " ")).alias("n_tokens"), F.xxhash64("site", "template", "open_at").alias("template_id")))
     ids = parsed.select("line_id", F.col("line_check").alias("check"), "rows", "template_id", "slots", "n_tokens")
-    covered = _joined(hot.select("doc_id", "para_no", "sent_no", "site", "line_id", "line_check"), ids, "line_id", 56, "doc_id").where("line_check = check")
+    covered = _joined(hot.select("doc_id", "para_no", "sent_no", "site", "line_id", "line_check"), ids, "line_id", 144, "doc_id").where("line_check = check")
     covered = stored(covered.select("doc_id", "para_no", "sent_no", "site", "template_id", "slots", "n_tokens"))
     counted = covered.select("template_id", "doc_id").distinct().groupBy("template_id").agg(F.count("*").alias("n_docs"), F.count("*").alias("rows"))
     named = parsed.select("template_id", "site", "template", "slots", "needed", "site_docs").distinct()
     templates = cut(counted.join(named, "template_id").where("n_docs >= needed"))
-    found = _joined(covered, templates.select("template_id", "rows"), "template_id", 32, "doc_id")
+    found = _joined(covered, templates.select("template_id", "rows"), "template_id", 96, "doc_id")
     return templates.select("site", "template", "slots", "n_docs", "site_docs"), found.select("doc_id", "para_no", "sent_no", "site", "slots", "n_tokens")
 
 
