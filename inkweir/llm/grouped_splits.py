@@ -1,8 +1,8 @@
 """Splits that keep related records together.
 
 Records sharing an entity or a source form groups: connected components of records, each linked to the
-smallest one of its entity and of each of its sources, by way of the smallest ones of hash buckets, so
-that an entity or a source with a third of all rows is joined in many tasks. Whole groups are then
+smallest one of its entity and of each of its sources; the records of a hot entity or source are joined with
+it in parts. Whole groups are then
 allocated by a min-cost flow: groups of one size and one label profile (how many of their records had each
 split before) are a bundle, bundles flow into the splits at the cost of every record that leaves its
 earlier split, a split's deviation from its quota costs more than any such move, and the flow is rounded to
@@ -23,12 +23,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from inkweir.operators.graph import connected_components
-from inkweir.session import cut
+from inkweir.session import cut, stored
 
 #: Hash buckets by which the members of a bundle are ranked; a task ranks one bucket.
 RANK_BUCKETS = 1024
-#: Hash buckets in which the records of one entity or source are joined.
-LINK_BUCKETS = 64
+#: Records of one entity or source from which they are joined in parts at least, the parts, and the most keys split.
+HOT_ROWS, PARTS, MOST_HOT = 100_000, 64, 200_000
 #: Cost of a record above or below a split's quota; a record that leaves its earlier split costs 1.
 DEVIATION = 10.0
 
@@ -39,27 +39,36 @@ def same_url(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(url), r"#[\s\S]*$", ""), r"\?utm_[\s\S]*$", ""), r"/+$", "")
 
 
+def _with_least(rows: DataFrame, key: str, value: str, n_rows: int) -> DataFrame:
+    """rows with ``m``, the least ``value`` of their key. Keys with a large share of ``n_rows``, of which
+    there can be at most MOST_HOT and whose names are therefore broadcast, are joined in parts."""
+    least = rows.groupBy(key).agg(F.min(value).alias("m"), F.count("*").alias("n"))
+    hot = F.col("n") >= max(HOT_ROWS, n_rows // MOST_HOT)
+    names = F.broadcast(least.where(hot).select(key, F.lit(True).alias("is_hot")))
+    part = F.when(F.col("is_hot"), F.pmod(F.xxhash64(value), F.lit(PARTS)).cast("int")).otherwise(0)
+    spread = least.select(key, "m", F.explode(F.sequence(F.lit(0), F.when(hot, PARTS - 1).otherwise(0))).alias("part"))
+    return rows.join(names, key, "left").withColumn("part", part).join(spread, [key, "part"]).drop("part", "is_hot")
+
+
 def record_groups(records: DataFrame) -> DataFrame:
     """records(rec_id, entity, sources array<string>) to (rec_id, group_no): records that share a
     non-null entity or a non-null source, directly or through others, have one group, named by its
     smallest rec_id. Records without either, and with null or empty sources, stand alone; records
-    without an id are left out; repeated rows give one row; an empty table gives none."""
-    told = records.where("rec_id is not null").select("rec_id", F.col("entity"), F.filter(F.array_distinct(F.coalesce("sources", F.array().cast("array<string>"))), lambda s: s.isNotNull()).alias("sources"))
-    told = cut(told)
-    linked = told.where("entity is not null").select("rec_id", "entity", F.pmod(F.xxhash64("rec_id"), F.lit(LINK_BUCKETS)).alias("bucket"))
-    by_entity = linked.groupBy("entity", "bucket").agg(F.min("rec_id").alias("root"))
-    rooted = linked.join(by_entity, ["entity", "bucket"]).select("rec_id", "root").unionByName(told.where("entity is null").select("rec_id", F.col("rec_id").alias("root")))
-    # a record of several rows with different entities has several roots
-    rooted = cut(rooted.groupBy("rec_id").agg(F.min("root").alias("root"), F.max("root").alias("high")))
-    same = rooted.where("root < high").select(F.col("high").alias("u"), F.col("root").alias("v"))
-    between = by_entity.join(by_entity.groupBy("entity").agg(F.min("root").alias("v")), "entity").where("root <> v").select(F.col("root").alias("u"), "v")
-    cited = told.select("rec_id", F.explode("sources").alias("source")).join(rooted.select("rec_id", "root"), "rec_id").select("root", "source").distinct()
-    cited = cited.withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(LINK_BUCKETS)))
-    by_source = cited.groupBy("source", "bucket").agg(F.min("root").alias("low"), F.count("*").alias("n"))
-    inside = cited.join(by_source.where("n > 1"), ["source", "bucket"]).where("root <> low").select(F.col("root").alias("u"), F.col("low").alias("v"))
-    across = by_source.join(by_source.groupBy("source").agg(F.min("low").alias("v")), "source").where("low <> v").select(F.col("low").alias("u"), "v")
-    roots = connected_components(same.unionByName(between).unionByName(inside).unionByName(across))
-    return rooted.select("rec_id", "root").join(roots.toDF("root", "group_no"), "root", "left").select("rec_id", F.coalesce("group_no", "root").alias("group_no"))
+    without an id are left out; repeated rows give one row; an empty table gives none. Sources go by 128
+    bits of hash."""
+    short = lambda s: F.struct(F.xxhash64(s).alias("a"), F.xxhash64(F.lit("b"), s).alias("b"))
+    sources = F.transform(F.filter(F.array_distinct(F.coalesce("sources", F.array().cast("array<string>"))), lambda s: s.isNotNull()), short)
+    told = stored(records.where("rec_id is not null").select("rec_id", F.col("entity"), sources.alias("sources")))
+    n = told.count()
+    by_entity = _with_least(told.where("entity is not null"), "entity", "rec_id", n).select("rec_id", F.col("m").alias("root"), "sources")
+    rooted = stored(by_entity.unionByName(told.where("entity is null").select("rec_id", F.col("rec_id").alias("root"), "sources")))
+    cited = stored(rooted.select("root", F.explode("sources").alias("source")).distinct())
+    edges = _with_least(cited, "source", "root", cited.count()).where("root <> m").select(F.col("root").alias("u"), F.col("m").alias("v"))
+    # one record may stand in several rows with different entities
+    same = rooted.groupBy("rec_id").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(F.col("high").alias("u"), F.col("low").alias("v"))
+    roots = connected_components(edges.unionByName(same))
+    once = rooted.groupBy("rec_id").agg(F.min("root").alias("root"))
+    return once.join(roots.toDF("root", "group_no"), "root", "left").select("rec_id", F.coalesce("group_no", "root").alias("group_no"))
 
 
 def allocate(bundles: list[tuple[int, tuple[int, ...], int]], shares: dict[str, float], deviation: float = DEVIATION) -> dict[tuple[int, tuple[int, ...]], dict[str, int]]:

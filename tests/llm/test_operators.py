@@ -191,7 +191,9 @@ def linked(spark, rows):
     return clash(spark.createDataFrame(rows, "rec_id bigint, entity bigint, sources array<string>"))
 
 
-def test_groups_equal_union_find_and_splits_keep_them(spark):
+@pytest.mark.parametrize("hot", [100_000, 3])
+def test_groups_equal_union_find_and_splits_keep_them(spark, monkeypatch, hot):
+    monkeypatch.setattr(grouped_splits, "HOT_ROWS", hot)
     random.seed(6)
     rows = [(i, random.choice([None, 1, *range(2, 200)]), [random.choice([None, f"u{random.randint(0, 900)}"]) for _ in range(random.randint(0, 2))]) for i in range(1, 500)]
     rows += [(600, None, None), (601, None, []), rows[0], (None, 5, ["u1"])]
