@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkweir.operators.timestamps import site_of
+from inkweir.session import stored
 
 BLANKS = r"[\s\u00a0]+"
 _WORD = re.compile(r"[a-z0-9]+")
@@ -56,10 +57,19 @@ def word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
-def hashed_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
+#: Bytes, as JSON, that a training sample may take on the driver.
+SAMPLE_BYTES = 128 << 20
+
+
+def hashed_sample(df: DataFrame, key: str, bound: int, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """About ``bound`` rows of ``df``, all if it has no more, chosen by a hash of ``key``: for training on
-    a bounded sample. The choice is made where the rows are; only chosen rows are ever sent."""
+    a bounded sample. Where their rows are long, fewer of them, so that they take about ``most_bytes``
+    together; a row that exceeds these alone is not trained on. The choice is made where the rows are;
+    only chosen rows are ever sent."""
     total = df.count()
-    if total <= bound:
-        return df
-    return df.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) < int((1 << 30) * bound / total))
+    share = lambda name, part: F.pmod(F.xxhash64(F.lit(name), key), F.lit(1 << 30)) < int((1 << 30) * part)
+    chosen = stored(df if total <= bound else df.where(share("sample", bound / total)))
+    sized = chosen.withColumn("_bytes", F.octet_length(F.to_json(F.struct(*chosen.columns)))).where(F.col("_bytes") <= most_bytes)
+    held = sized.agg(F.sum("_bytes")).first()[0] or 0
+    kept = sized if held <= most_bytes else sized.where(share("bytes", most_bytes / held))
+    return kept.drop("_bytes")

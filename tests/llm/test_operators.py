@@ -55,6 +55,9 @@ def test_hashed_sample_is_bounded_and_the_same_every_time(spark):
     a, b = (sorted(r[0] for r in common.hashed_sample(df, "doc_id", 1000).collect()) for _ in range(2))
     assert a == b and 850 < len(a) < 1150
     assert common.hashed_sample(df, "doc_id", 50_000).count() == 20_000
+    long = df.withColumn("text", F.repeat(F.lit("x"), 1000)).unionByName(spark.createDataFrame([(30_000, "y" * 2_000_000)], "doc_id bigint, text string"))
+    few = common.hashed_sample(long, "doc_id", 50_000, 1_000_000)
+    assert 800 < few.count() < 1100 and few.where("doc_id = 30000").count() == 0
 
 
 # ---------------------------------------------------------------- repeated lines
