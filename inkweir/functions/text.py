@@ -10,17 +10,6 @@ from pyspark.sql import functions as F
 WORD = r"([\p{L}\p{N}]+)"
 _CUT = "\u0001"
 
-# Frequent function words by which a language shows (plain ASCII, lower case).
-STOP_WORDS = {
-    "en": "the of and to in is was that for with on by at from have are were which this said",
-    "de": "der die das und in den von zu mit sich des auf ist im dem nicht eine als auch werden",
-    "fr": "le la les de des et un une du dans qui que est pour sur par au pas avec ce",
-    "es": "el la los las de y en que un una por con del para se es al lo como su",
-    "pt": "o a os as de e em que um uma por com do da para se no na ao foi",
-    "nl": "de het een en van in is dat op te zijn met voor niet aan er om ook door bij",
-}
-
-
 def words(text: Column) -> Column:
     """Lower-case runs of letters and digits, with repeats. Null gives null."""
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(1))
@@ -99,22 +88,6 @@ def transliterate(text: Column) -> Column:
     return out
 
 
-def language_scores(text: Column) -> Column:
-    """Stop words of each language in a text, as an array in the order of STOP_WORDS."""
-    found = words(text)
-
-    def hits(listed: list[str]) -> Column:
-        return F.size(F.filter(found, lambda w: w.isin(listed)))
-
-    return F.array(*(hits(listed.split()) for listed in STOP_WORDS.values()))
-
-
-def detect_language(text: Column) -> Column:
-    """The language with most stop words, the earlier one in a draw; null without any."""
-    scores = language_scores(text)
-    return F.when(F.array_max(scores) > 0, F.element_at(F.array(*map(F.lit, STOP_WORDS)), F.array_position(scores, F.array_max(scores)).cast("int")))
-
-
 def topic(title: Column, headings: Column) -> Column:
     """Title and headings in one line."""
     return F.concat_ws(" ", title, F.nullif(F.array_join(headings, " "), F.lit("")))

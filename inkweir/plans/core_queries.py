@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from inkweir.functions import text as tx
 from inkweir.functions import urls
+from inkweir.functions.language import Profiles, language_of, train_profiles
 from inkweir.operators import cloze, crawl, graph, quality, ranking, validation
 from inkweir.operators.ordered import runs
 from inkweir.operators.timestamps import site_of
@@ -115,26 +116,28 @@ def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.term_frequency(_bodies(spark, sf_dir), "doc_id")
 
 
-_SCORER = "CASE greatest({0}) " + " ".join(f"WHEN s{i} THEN '{c}'" for i, c in enumerate(tx.STOP_WORDS)) + " END"
+_CODES = ["de", "en", "es", "fr", "nl", "pt"]
+_LANGUAGE = (
+    _D + r""", lo AS (SELECT doc_id, lower(lang) AS language, lower(body) AS t FROM d), dg AS (SELECT doc_id, language, g, count(*) AS c FROM (SELECT doc_id, language, unnest(list_transform(range(1, length(t) - 1), lambda i: t[i:i + 2])) AS g FROM lo WHERE length(t) > 2) GROUP BY 1, 2, 3),
+    gc AS (SELECT language, g, CAST(sum(c) AS BIGINT) AS n FROM dg WHERE language IN ('de', 'en', 'es', 'fr', 'nl', 'pt') GROUP BY 1, 2), gt AS (SELECT language, sum(n) AS total FROM gc GROUP BY 1),
+    top AS (SELECT language, g, n FROM (SELECT *, row_number() OVER (PARTITION BY language ORDER BY n DESC, g) AS r FROM gc) WHERE r <= 400), pg AS (SELECT DISTINCT g FROM top),
+    prof AS (SELECT pg.g, gt.language, CAST(round(100 * ln(coalesce(n, 0.5)::DOUBLE / total)) AS BIGINT) AS s FROM pg CROSS JOIN gt LEFT JOIN top ON top.g = pg.g AND top.language = gt.language),
+    ds AS (SELECT doc_id, prof.language, sum(c * s) AS s FROM dg JOIN prof USING (g) GROUP BY 1, 2), said AS (SELECT doc_id, language FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, language) AS r FROM ds) WHERE r = 1)"""
+)
 
 
-@registry.query(
-    "english_documents",
-    sql=f"WITH {_D}, w AS (SELECT doc_id, lang, regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+') AS ws FROM d), s AS (SELECT doc_id, lang, "
-    + ", ".join(f"len(list_filter(ws, lambda x: list_contains([{', '.join(repr(w) for w in v.split())}], x))) AS s{i}" for i, v in enumerate(tx.STOP_WORDS.values()))
-    + " FROM w) SELECT doc_id, CASE WHEN greatest(s0, s1, s2, s3, s4, s5) > 0 THEN " + _SCORER.format("s0, s1, s2, s3, s4, s5") + " END AS language FROM s",
-)
+def _profiles(spark: SparkSession, sf_dir: str) -> Profiles:
+    """Trigram profiles of the six languages, from the documents that are labelled by a plain code."""
+    return train_profiles(_bodies(spark, sf_dir).select("text", F.lower("lang").alias("language")).where(F.col("language").isin(_CODES)))
+
+
+@registry.query("english_documents", sql=f"WITH {_LANGUAGE} SELECT doc_id, language FROM documents LEFT JOIN said USING (doc_id)")
 def english_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The language of each document by stop words."""
-    return _bodies(spark, sf_dir).select("doc_id", tx.detect_language(F.col("text")).alias("language"))
+    """The language of each document by trigram profiles; null without text."""
+    return _bodies(spark, sf_dir).select("doc_id", language_of(F.col("text"), _profiles(spark, sf_dir)).alias("language"))
 
 
-@registry.query(
-    "english_instances",
-    sql=f"""WITH {_D}, {_LATEST}, {_CITED}, w AS (SELECT doc_id, regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+') AS ws FROM d), s AS (SELECT doc_id, """
-    + ", ".join(f"len(list_filter(ws, lambda x: list_contains([{', '.join(repr(w) for w in v.split())}], x))) AS s{i}" for i, v in enumerate(tx.STOP_WORDS.values()))
-    + " FROM w) SELECT inst_no, count(*) AS n_english FROM cited JOIN latest USING (k) JOIN s USING (doc_id) WHERE s0 > 0 AND s0 >= greatest(s1, s2, s3, s4, s5) GROUP BY inst_no",
-)
+@registry.query("english_instances", sql=f"WITH {_LANGUAGE}, {_LATEST}, {_CITED} SELECT inst_no, count(*) AS n_english FROM cited JOIN latest USING (k) JOIN said USING (doc_id) WHERE language = 'en' GROUP BY inst_no")
 def english_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Instances that keep at least one English document, with how many they keep."""
     english = english_documents(spark, sf_dir).where("language = 'en'")

@@ -271,7 +271,7 @@ def stream_english_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = cited.groupBy(F.col("inst_no").cast("string").alias("id")).agg(F.collect_list(F.struct(F.col("k").alias("canonical_url"), "paragraphs")).alias("documents"))
     source, target = scratch(spark), scratch(spark)
     files.write_jsonl(nested, source)
-    stream = filters.keep_english(filters.stream_jsonl(spark, source, schemas.INSTANCES))
+    stream = filters.keep_english(filters.stream_jsonl(spark, source, schemas.INSTANCES), core._profiles(spark, sf_dir))
     filters.run_once(stream.select(F.col("id").cast("bigint").alias("inst_no"), F.size("documents").cast("bigint").alias("n_english")), target, scratch(spark))
     return spark.read.schema("inst_no bigint, n_english bigint").parquet(target)
 

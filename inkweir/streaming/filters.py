@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from inkweir.functions.text import detect_language, flat_text
+from inkweir.functions.language import Profiles, languages_of
+from inkweir.functions.text import flat_text
 
 
-def keep_english(instances: DataFrame) -> DataFrame:
+def keep_english(instances: DataFrame, profiles: Profiles) -> DataFrame:
     """instances(documents[{paragraphs}]) without documents in other languages, and without instances that
-    keep none. Stateless, so it runs on streams and tables alike."""
-    english = F.filter("documents", lambda d: F.coalesce(detect_language(flat_text(d["paragraphs"])) == "en", F.lit(False)))
-    return instances.withColumn("documents", english).where(F.size("documents") > 0)
+    keep none; a document without text has no language. Stateless, so it runs on streams and tables alike."""
+    told = languages_of(F.transform("documents", lambda d: flat_text(d["paragraphs"])), profiles)
+    kept = F.filter(F.arrays_zip(F.col("documents").alias("d"), F.col("_languages").alias("l")), lambda x: F.coalesce(x["l"] == "en", F.lit(False)))
+    filtered = instances.withColumn("_languages", told).withColumn("documents", F.transform(kept, lambda x: x["d"])).drop("_languages")
+    return filtered.where(F.size("documents") > 0)
 
 
 def stream_jsonl(spark: SparkSession, folder: str, schema: T.StructType, files_per_trigger: int = 100) -> DataFrame:

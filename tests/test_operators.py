@@ -41,8 +41,6 @@ def test_text_functions(spark):
     assert one(spark, tx.token_count(F.col("t")), t=None) == 0
     assert one(spark, tx.categories(F.col("t")), t="[[Category: Living people |Doe]] [[category:no]]") == ["Living people |Doe"]
     assert one(spark, tx.transliterate(F.col("t")), t="Größe «ñ»") == "Grosse <<n>>"
-    assert one(spark, tx.detect_language(F.col("t")), t="der Hund und die Katze sind nicht da") == "de"
-    assert one(spark, tx.detect_language(F.col("t")), t="") is None
     marks = F.array(*(F.struct(F.lit(i).alias("id"), F.lit(o).alias("offset")) for i, o in ((2, 3), (1, 0))))
     assert one(spark, tx.splice_citations(F.col("t"), marks), t="abcdef") == "[1]abc[2]def"
     assert [one(spark, tx.decode_label(F.col("t")), t=a) for a in ("Yes", "No", "Unclear", None)] == [1, 0, -1, -1]
@@ -244,3 +242,22 @@ def test_runs_within_and_across_keys(spark):
     got = sorted(tuple(r) for r in runs(spark.createDataFrame(rows, "k int, o bigint, v string"), "k", "o", "v").collect())
     assert got == [(1, 0, 2, 0), (1, 1, 2, 2), (1, 2, 1, 4), (1, 3, 1, 5), (1, 4, 1, 6), (2, 1, 2, 100), (2, 2, 2, 102), (2, 3, 1, 104), (3, 0, 1, 200)]
     assert runs(spark.createDataFrame([], "k int, o bigint, v string"), "k", "o", "v").count() == 0
+
+
+def test_languages_by_profiles_on_unseen_texts(spark):
+    from inkweir.functions.language import language_of, languages_of, train_profiles
+
+    told = {
+        "en": ["The council opened the new bridge after the war and the people went to the old house.", "There was nothing that they could have done with what was left of the harbour."],
+        "de": ["Der Rat der Stadt hat die neue Brücke nach dem Krieg eröffnet und die Leute gingen nach Hause.", "Es gab nichts, was sie mit dem Rest des Hafens hätten machen können."],
+        "fr": ["Le conseil de la ville a ouvert le nouveau pont après la guerre et les gens sont rentrés.", "Il n'y avait rien qu'ils auraient pu faire avec ce qui restait du port."],
+    }
+    profiles = train_profiles(spark.createDataFrame([*((t, c) for c, ts in told.items() for t in ts), (None, "en"), ("x", None), ("", "en")], "text string, language string"))
+    assert profiles.languages == ["de", "en", "fr"]
+    texts = {"the people of that town have left their bridge": "en", "die Leute der Stadt haben ihre Brücke verlassen": "de", "les gens de cette ville ont quitté leur pont": "fr", "": None, "123": None, "字字字": None}
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    assert {r["t"]: r["l"] for r in df.select("t", language_of(F.col("t"), profiles).alias("l")).collect()} == {**texts, None: None}
+    arrays = spark.createDataFrame([([*texts],), (None,), ([],)], "a array<string>")
+    assert [r[0] for r in arrays.select(languages_of(F.col("a"), profiles)).collect()] == [[*texts.values()], None, []]
+    nothing = train_profiles(spark.createDataFrame([], "text string, language string"))
+    assert nothing.language("the people") is None

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from inkweir import schemas
+from inkweir.functions.language import train_profiles
 from inkweir.sources import files, markup, ranges
 from inkweir.streaming import filters
 
@@ -165,7 +166,8 @@ def test_streams(spark, tmp_path):
     docs = [{"canonical_url": "u", "paragraphs": [["the cat and the dog of the house"]]}, {"canonical_url": "v", "paragraphs": [["der Hund und die Katze"]]}]
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text("\n".join(json.dumps(x) for x in ({"id": "1", "documents": docs}, {"id": "2", "documents": docs[1:]})))
-    stream = filters.keep_english(filters.stream_jsonl(spark, str(tmp_path / "in"), schemas.INSTANCES))
+    told = spark.createDataFrame([("the cat and the dog ran through the old house of the town", "en"), ("der Hund und die Katze liefen durch das alte Haus der Stadt", "de")], "text string, language string")
+    stream = filters.keep_english(filters.stream_jsonl(spark, str(tmp_path / "in"), schemas.INSTANCES), train_profiles(told))
     filters.run_once(stream.select("id", F.size("documents").alias("n")), str(tmp_path / "out"), str(tmp_path / "cp"))
     filters.run_once(stream.select("id", F.size("documents").alias("n")), str(tmp_path / "out"), str(tmp_path / "cp"))
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("1", 1)]
