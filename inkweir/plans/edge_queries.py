@@ -73,6 +73,15 @@ def bucket_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("inst_no bigint, label string").json(folder).groupBy("label").agg(F.count("*").alias("n"))
 
 
+@registry.query("row_files", sql="SELECT source, time_zone, site_name FROM sites WHERE source IS NOT NULL")
+def row_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites written to a file each and read back."""
+    folder = scratch(spark)
+    rows = table(spark, sf_dir, "sites")
+    files.write_rows_as_files(rows, folder, "source", rows.count())
+    return spark.read.schema("source string, time_zone string, site_name string").option("multiLine", True).json(folder)
+
+
 # ---------------------------------------------------------------- dumps, capture indexes, annotation tables, stores
 
 

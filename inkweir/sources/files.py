@@ -191,15 +191,28 @@ def write_buckets(bucketed: DataFrame, path: str, label: str = "label") -> None:
 
 
 def write_rows_as_files(rows: DataFrame, folder: str, name: str, limit: int) -> int:
-    """At most ``limit`` rows (the feature: a sample to look at), each as its own JSON file named by a
-    column; returns how many were written."""
+    """At most ``limit`` rows (the feature: a sample to look at), each as its own JSON file below a shared
+    folder, named by a column and written where the row is; returns how many were written. A name with a
+    slash or a null makes no file."""
     import json
     import os
-
-    os.makedirs(folder, exist_ok=True)
-    n = 0
-    for row in rows.limit(limit).toLocalIterator():
-        with open(os.path.join(folder, f"{row[name]}.json"), "w", encoding="utf-8") as out:
-            json.dump(row.asDict(recursive=True), out, ensure_ascii=False, indent=2, default=str)
-        n += 1
-    return n
+    import re
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    root = re.sub(r"^file:(//)?", "", folder)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.makedirs(root, exist_ok=True)
+        for batch in batches:
+            n = 0
+            for key, row in zip(batch["name"], batch["row"]):
+                if key is not None and "/" not in key:
+                    with open(os.path.join(root, f"{key}.json"), "w", encoding="utf-8") as out:
+                        json.dump(json.loads(row), out, ensure_ascii=False, indent=2)
+                    n += 1
+            yield pd.DataFrame({"n": [n]})
+
+    told = rows.limit(limit).select(F.col(name).cast("string").alias("name"), F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("row"))
+    return told.mapInPandas(run, "n bigint").agg(F.sum("n")).first()[0] or 0
