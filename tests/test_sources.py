@@ -192,3 +192,15 @@ def test_rendered_articles(spark):
     row = articles.rendered(parsed, known).first()
     assert 'Text b.<a href="4.json">[4]</a></p>' in row["html"] and row["saved"] == [4]
     assert articles.resolvable(parsed, known).count() == 1 and articles.resolvable(parsed, known.where("url is null")).count() == 0
+
+
+def test_lines_filtered_between_input_and_output(spark):
+    import io
+
+    told = spark.createDataFrame([("the cat and the dog ran through the old house of the town", "en"), ("der Hund und die Katze liefen durch das alte Haus der Stadt", "de")], "text string, language string")
+    en, de = {"paragraphs": [["the dog of the town ran through the house"]], "extra": 1}, {"paragraphs": [["der Hund der Stadt lief durch das Haus"]]}
+    lines = [json.dumps(x) + "\n" for x in ({"id": "1", "documents": [de, en], "more": "x"}, {"id": "2", "documents": [de]}, {"id": "3", "documents": None}, {"id": "4", "documents": [en]})] + ["broken\n"]
+    out, report = io.StringIO(), io.StringIO()
+    assert filters.filter_lines(spark, lines, out, train_profiles(told), 2, report) == (5, 2)
+    assert [json.loads(x) for x in out.getvalue().splitlines()] == [{"id": "1", "documents": [en], "more": "x"}, {"id": "4", "documents": [en]}]
+    assert report.getvalue().splitlines()[-1] == "2 of 5 kept"
